@@ -11,6 +11,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.languages import language_spans, mislabelled
+
+    return mislabelled(language_spans(_table(spark, sf_dir, "chunks"))).select("chunk_id", "seg_no", "lang")
+
+
+def p3_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.languages import language_spans
+
+    return language_spans(_table(spark, sf_dir, "chunks"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hammerlot.llm.markup import markup_elements
 
@@ -35,6 +47,31 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_scans(_table(spark, sf_dir, "chunks"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.leaks import leaks
+
+    found = leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
+    return found.where("kind = 'exact'").select("doc_id", "item_id").distinct()
+
+
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.leaks import leaks
+
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
+
+
+def p7_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hammerlot.llm.sentences import split_sentences
 
@@ -49,7 +86,7 @@ def p8_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p4_found, p4_rendered, p5_found, p5_repaired, p8_found, p8_sentences)
+    for f in (p3_found, p3_spans, p4_found, p4_rendered, p5_found, p5_repaired, p6_found, p6_matches, p7_uses, p7_shares, p8_found, p8_sentences)
 }
 
 ORACLES: dict[str, str] = {}
