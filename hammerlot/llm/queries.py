@@ -11,6 +11,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.variants import spelling_clusters
+
+    return spelling_clusters(_table(spark, sf_dir, "reconciled_agents"), _table(spark, sf_dir, "authority"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.variants import pairs_of_clusters
+
+    return pairs_of_clusters(_clusters(spark, sf_dir))
+
+
+def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clusters(spark, sf_dir)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_mapped(spark, sf_dir).select("agent_id", "wikidata_id")
+
+
+def p2_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hammerlot.llm.canonical import map_to_reference
+
+    return map_to_reference(_table(spark, sf_dir, "reconciled_agents"), _table(spark, sf_dir, "authority"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hammerlot.llm.languages import language_spans, mislabelled
 
@@ -86,7 +112,7 @@ def p8_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p3_found, p3_spans, p4_found, p4_rendered, p5_found, p5_repaired, p6_found, p6_matches, p7_uses, p7_shares, p8_found, p8_sentences)
+    for f in (p1_found, p1_clusters, p2_found, p2_mapped, p3_found, p3_spans, p4_found, p4_rendered, p5_found, p5_repaired, p6_found, p6_matches, p7_uses, p7_shares, p8_found, p8_sentences)
 }
 
 ORACLES: dict[str, str] = {}
