@@ -53,7 +53,12 @@ def best_pattern(text: Column) -> Column:
 
 def _pieces(text: Column, pattern: str) -> Column:
     marked = F.regexp_replace(text, f"(?md){pattern}", f"{MATCH}$1{FIELD}$2{FIELD}$0")
-    return F.slice(F.split(marked, MATCH), 2, 2147483647)
+    return _after_first(F.split(marked, MATCH))
+
+
+def _after_first(pieces: Column) -> Column:
+    """All pieces but the one in front of the first mark."""
+    return F.filter(pieces, lambda _, i: i > 0)
 
 
 def chunk(df: DataFrame, text: str = "text", key: str = "catalogue_id", pattern: str | None = None) -> DataFrame:
@@ -90,7 +95,7 @@ def split_gaps(df: DataFrame, key: str = "catalogue_id", order: tuple[str, ...]
     rows = ordered.rejoin(rows, narrow, ["key", *by])
     marked = F.regexp_replace(_clean(F.col("text")), INNER_LOT, f"{MATCH}$1{FIELD}$0")
     segment = F.transform(
-        F.slice(F.split(marked, MATCH), 2, 2147483647),
+        _after_first(F.split(marked, MATCH)),
         lambda s: F.struct(F.substring_index(s, FIELD, 1).cast("bigint").alias("n"), F.substring_index(s, FIELD, -1).alias("x")),
     )
     gap = F.col("nxt") - F.col("cur") - 1

@@ -125,9 +125,9 @@ def test_inconsistencies(spark, nums, found):  # noqa: ANN001, ANN201
 def test_flags_and_stats(spark):  # noqa: ANN001, ANN201
     df = numbered(spark, ["1", "2", "I4", "4", "9"])
     flagged = quality.flag_needs_revision(df, inconsistencies(df))
-    assert [r.needs_revision for r in flagged.orderBy("idx").collect()] == [False, False, False, False, True]
+    assert [r.needs_revision for r in flagged.orderBy("idx").collect()] == [False, False, False, True, True]
     row = quality.catalogue_stats(flagged).first()
-    assert (row.issues, row.total, row.percent_issues) == (1, 5, 20.0)
+    assert (row.issues, row.total, row.percent_issues) == (2, 5, 40.0)
     assert quality.catalogue_stats(flagged.limit(0)).collect() == []
 
 
