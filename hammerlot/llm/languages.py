@@ -164,7 +164,8 @@ def _count(source: DataFrame, scores: dict[str, tuple[float, ...]] | None, skip_
                     if lang := settled(words, known) if known else seeded(words):
                         for w in words:
                             counts[w, lang] += 1
-            yield pd.DataFrame([(w, lang, n) for (w, lang), n in counts.items()], columns=["word", "lang", "n"])
+            if counts:
+                yield pd.DataFrame([(w, lang, n) for (w, lang), n in counts.items()], columns=["word", "lang", "n"])
 
     counts = source.mapInPandas(count, "word string, lang string, n bigint").groupBy("word").pivot("lang", list(LATIN)).sum("n").na.fill(0)
     counts = materialize(counts, "language-words")
@@ -264,7 +265,8 @@ def language_spans(df: DataFrame, model: Model | None = None, text: str = "text"
                 n_langs = len({lang for lang, _ in runs})
                 named = LANGUAGE_OF_CODE.get(code) if code else None
                 rows += [(k, i, lang, sum(c) / len(c), len(c), named, n_langs) for i, (lang, c) in enumerate(runs, 1)]
-            yield pd.DataFrame(rows, columns=["key", "seg_no", "lang", "confidence", "n_sentences", "label_lang", "n_langs"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "seg_no", "lang", "confidence", "n_sentences", "label_lang", "n_langs"])
 
     schema = f"key {kind}, seg_no int, lang string, confidence double, n_sentences int, label_lang string, n_langs int"
     return source.mapInPandas(run, schema).withColumnRenamed("key", key)

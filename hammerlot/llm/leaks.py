@@ -51,14 +51,14 @@ def postings(df: DataFrame, key: str, text: str, terms: DataFrame | None = None)
 
 
 def leaks(
-    docs: DataFrame, items: DataFrame, least: int = 12, slop: int = 3, near_share: float = 0.75, doc_key: str = "doc_id", doc_text: str = "text", item_key: str = "item_id", item_text: str = "passage"
+    docs: DataFrame, items: DataFrame, least: int = 12, slop: int = 3, near_share: float = 0.75, near: bool = True, doc_key: str = "doc_id", doc_text: str = "text", item_key: str = "item_id", item_text: str = "passage"
 ) -> DataFrame:
     """``(doc, item, kind, n_words, doc_from, item_from)``: matches of item passages in documents.
 
     kind ``exact``: a maximal run of at least ``least`` consecutive words of the passage; n_words is its length.
     kind ``near``: no such run, but a share ``near_share`` of the words of the passage (``least`` words at least) within
     ``slop`` places of one shift.
-    Passages shorter than ``least`` words cannot match. Null texts and passages match nothing; repeated documents each
+    ``near`` False leaves these out and costs less. Passages shorter than ``least`` words cannot match. Null texts and passages match nothing; repeated documents each
     match on their own; repeated items with one key are one item with all their passages' rows.
     """
     passages = items.where(F.col(item_text).isNotNull()).select(F.col(item_key).alias("item"), F.monotonically_increasing_id().alias("part"), terms_of(F.col(item_text)).alias("terms"))
@@ -67,11 +67,15 @@ def leaks(
     index = materialize(postings(docs.select(doc_key, doc_text), doc_key, doc_text, wanted.select("term").distinct()), "leak-postings")
     frequency = index.groupBy("term").count()
 
-    # Rarest two terms of each window of `least` words; a window with a term the corpus lacks cannot match whole.
+    # Rarest terms of each window of `least` words. For exact matches two must meet, and a window with a term the corpus
+    # lacks cannot match; for near ones any two of the rarest three, so that one changed word leaves a pair.
     rated = wanted.join(frequency, "term", "left").select("item", "part", "ipos", "term", F.coalesce("count", F.lit(0)).alias("n"))
     by_place = W.partitionBy("item", "part").orderBy("ipos").rowsBetween(0, least - 1)
     window = rated.withColumn("w", F.array_sort(F.collect_list(F.struct("n", "ipos", "term")).over(by_place))).where(F.size("w") == least)
-    pairs = window.where(F.get("w", F.lit(0))["n"] > 0).select("item", "part", F.get("w", F.lit(0)).alias("a"), F.get("w", F.lit(1)).alias("b")).distinct()
+    w = [F.get("w", F.lit(i)) for i in range(3)]
+    chosen = [(w[0], w[1])] + ([(w[0], w[2]), (w[1], w[2])] if near and least > 2 else [])
+    pairs = window.select("item", "part", F.explode(F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in chosen])).alias("pair"))
+    pairs = pairs.where("pair.a.n > 0").select("item", "part", "pair.a", "pair.b").distinct()
     pairs = pairs.select("item", "part", F.col("a.term").alias("term"), F.col("a.ipos").alias("ipos"), F.col("b.term").alias("term2"), (F.col("b.ipos") - F.col("a.ipos")).alias("step"))
     first = pairs.join(index, "term").select("item", "part", "doc", (F.col("pos") - F.col("ipos")).alias("shift"), F.col("term2").alias("term"), (F.col("pos") + F.col("step")).alias("pos"))
     shifts = materialize(first.join(index, ["term", "doc", "pos"], "left_semi").select("item", "part", "doc", "shift").distinct(), "leak-shifts")
@@ -85,12 +89,14 @@ def leaks(
     runs = runs.agg(F.count("*").alias("n_words"), F.min("ipos").alias("item_from")).where(F.col("n_words") >= least)
     exact = runs.select("doc", "item", F.lit("exact").alias("kind"), F.col("n_words").cast("int").alias("n_words"), (F.col("item_from") + F.col("shift")).cast("int").alias("doc_from"), F.col("item_from").cast("int"))
 
+    if not near:
+        return exact.withColumnsRenamed({"doc": doc_key, "item": item_key})
     # Words up to `slop` places beside the shift, where it has half of `least` matches and the pair is no exact one.
     loose = hits.groupBy("item", "part", "doc", "shift").count().where(F.col("count") * 2 >= least).join(exact.select("doc", "item").distinct(), ["doc", "item"], "left_anti")
     beside = loose.join(passages, ["item", "part"]).select("item", "part", "doc", "shift", F.size("terms").alias("length"), F.posexplode("terms").alias("ipos", "term"))
     beside = beside.withColumn("pos", F.explode(F.sequence(F.col("ipos") + F.col("shift") - slop, F.col("ipos") + F.col("shift") + slop))).where("pos >= 0")
-    near = beside.join(index, ["term", "doc", "pos"], "left_semi").groupBy("item", "part", "doc", "shift")
-    near = near.agg(F.count_distinct("ipos").cast("int").alias("n_words"), F.min("ipos").cast("int").alias("item_from"), F.first("length").alias("length"))
-    near = near.where((F.col("n_words") >= least) & (F.col("n_words") >= near_share * F.col("length")))
-    near = near.groupBy("doc", "item").agg(F.max_by(F.struct("n_words", (F.col("item_from") + F.col("shift")).cast("int").alias("doc_from"), "item_from"), F.struct("n_words", -F.col("shift"))).alias("x"))
-    return exact.unionByName(near.select("doc", "item", F.lit("near").alias("kind"), "x.n_words", "x.doc_from", "x.item_from")).withColumnsRenamed({"doc": doc_key, "item": item_key})
+    close = beside.join(index, ["term", "doc", "pos"], "left_semi").groupBy("item", "part", "doc", "shift")
+    close = close.agg(F.count_distinct("ipos").cast("int").alias("n_words"), F.min("ipos").cast("int").alias("item_from"), F.first("length").alias("length"))
+    close = close.where((F.col("n_words") >= least) & (F.col("n_words") >= near_share * F.col("length")))
+    close = close.groupBy("doc", "item").agg(F.max_by(F.struct("n_words", (F.col("item_from") + F.col("shift")).cast("int").alias("doc_from"), "item_from"), F.struct("n_words", -F.col("shift"))).alias("x"))
+    return exact.unionByName(close.select("doc", "item", F.lit("near").alias("kind"), "x.n_words", "x.doc_from", "x.item_from")).withColumnsRenamed({"doc": doc_key, "item": item_key})

@@ -24,6 +24,7 @@ class Node:
     tag: str
     children: list[Node | str] = field(default_factory=list)
     source: str = ""  # content of code and formulas, as it stands
+    hidden: bool = False  # by its attributes
 
 
 # Names of HTML and wiki elements, by what the tree builder does with them.
@@ -282,7 +283,7 @@ def _tag(end: str, name: str, attrs: str, builder: _Builder) -> bool:
     else:
         node = builder.open(tag)
         if re.search(r"(?i)\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|visibility\s*:\s*hidden", attrs):
-            node.tag = "comment"
+            node.hidden = True
     return True
 
 
@@ -310,7 +311,7 @@ def plain(node: Node | str) -> str:
     """Visible text of a node on one line."""
     if isinstance(node, str):
         return node
-    if node.tag in HIDDEN:
+    if node.tag in HIDDEN or node.hidden:
         return ""
     if node.tag in ("codeblock", "formula"):
         return node.source
@@ -326,7 +327,7 @@ def elements(parsed: Parsed) -> list[tuple[str, str]]:
     out: dict[tuple[str, str], None] = {}
 
     def walk(node: Node) -> None:
-        if node.tag in HIDDEN:
+        if node.tag in HIDDEN or node.hidden:
             return
         if node.tag == "heading":
             out[("heading", one_line(plain(node)))] = None
@@ -360,7 +361,7 @@ def render(parsed: Parsed) -> str:
     def walk(node: Node | str, depth: int) -> None:
         if isinstance(node, str):
             line.append(node)
-        elif node.tag in HIDDEN:
+        elif node.tag in HIDDEN or node.hidden:
             pass
         elif node.tag == "heading":
             flush()
@@ -433,7 +434,8 @@ def markup_elements(df: DataFrame, text: str = "text", key: str = "chunk_id") ->
                 parsed = parse(body)
                 if parsed.residue:
                     rows += [(k, e, t) for e, t in elements(parsed)] or [(k, "none", "")]
-            yield pd.DataFrame(rows, columns=["key", "elem", "elem_text"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "elem", "elem_text"])
 
     return source.mapInPandas(extract, f"key {key_type}, elem string, elem_text string").withColumnRenamed("key", key)
 

@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hammerlot.plans.broadcasting import broadcast_if_small
@@ -183,9 +184,9 @@ def mix(
     uses = materialize(uses, "mix-uses")
     used = uses.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("used_tokens"))
     shares = plan.join(used, "source", "left").na.fill(0, ["used_tokens"])
-    everything = used.agg(F.sum("used_tokens").alias("all_tokens"))
-    shares = shares.join(F.broadcast(everything)).select(
+    # One row per target source: a window over all of them is small.
+    shares = shares.withColumn("all_tokens", F.sum("used_tokens").over(W.partitionBy(F.lit(1)))).select(
         "source", "target_share", "max_repeats", "n_docs", "available_tokens", F.round("planned_tokens").cast("bigint").alias("planned_tokens"), "used_tokens",
-        F.coalesce(F.col("used_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("actual_share"),
+        F.coalesce(F.try_divide(F.col("used_tokens"), F.col("all_tokens")), F.lit(0.0)).alias("actual_share"),
     )
     return uses.withColumnRenamed("id", key), shares

@@ -66,7 +66,7 @@ WITH folded AS (
   FROM named
 )
 SELECT id, label, place, house, company, double, surnames,
-  CASE WHEN double THEN 'double' WHEN size(surnames) = 0 THEN 'none' WHEN partners THEN 'partners' WHEN house IS NOT NULL OR company THEN 'firm' WHEN size(words) = 1 THEN 'single' ELSE 'person' END AS kind,
+  CASE WHEN double THEN 'double' WHEN coalesce(size(surnames), 0) = 0 THEN 'none' WHEN partners THEN 'partners' WHEN house IS NOT NULL OR company THEN 'firm' WHEN size(words) = 1 THEN 'single' ELSE 'person' END AS kind,
   CASE WHEN partners THEN cast(array() AS array<string>) ELSE
     (CASE WHEN size(filter(words, t -> NOT array_contains(surnames, t))) > 1 AND words[0] = 'm' THEN filter(slice(words, 2, size(words)), t -> NOT array_contains(surnames, t))
      ELSE filter(words, t -> NOT array_contains(surnames, t)) END) END AS given

@@ -76,8 +76,8 @@ def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hammerlot.llm.leaks import leaks
 
-    found = leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
-    return found.where("kind = 'exact'").select("doc_id", "item_id").distinct()
+    found = leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"), near=False)
+    return found.select("doc_id", "item_id").distinct()
 
 
 def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -323,7 +323,8 @@ def split_sentences(df: DataFrame, text: str = "text", lang: str | None = "lang"
                     ends.append(end)
                     sentences.append(body[at:end])
                     at = end
-            yield pd.DataFrame({"key": keys, "sent_no": numbers, "sent_start": starts, "sent_end": ends, "sentence": sentences})
+            if keys:
+                yield pd.DataFrame({"key": keys, "sent_no": numbers, "sent_start": starts, "sent_end": ends, "sentence": sentences})
 
     out = source.mapInPandas(split, f"key {key_type}, sent_no int, sent_start bigint, sent_end bigint, sentence string")
     return out.withColumnRenamed("key", key)

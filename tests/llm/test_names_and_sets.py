@@ -100,7 +100,7 @@ def test_cosine_pairs_against_all_pairs(spark):  # noqa: ANN001, ANN201
     seen = Counter(g for x in grams for g in x)
     vectors = []
     for x in grams:
-        v = {g: c * (math.log((len(names) + 1) / max(seen[g], variants.RARE_SHARE * len(names))) + 0.05) for g, c in x.items()}
+        v = {g: c * math.log1p(len(names) / max(seen[g], variants.RARE_SHARE * len(names), variants.RARE_LEAST)) for g, c in x.items()}
         norm = math.sqrt(sum(w * w for w in v.values()))
         vectors.append({g: w / norm for g, w in v.items()})
     expected = {(i, j): c for i in range(len(names)) for j in range(i + 1, len(names)) if (c := sum(w * vectors[j].get(g, 0) for g, w in vectors[i].items())) >= 0.4}
