@@ -24,7 +24,7 @@ WITH pairs AS (
   UNION ALL
   SELECT l.key, r.entity, s.d + t.d, NULL, NULL, l.house, r.house, l.place, r.place, NULL, NULL
   FROM {labels} l JOIN {near} s ON l.one = s.q JOIN {near} t ON l.two = t.q
-  JOIN {refs} r ON r.kind = 'partners' AND ((r.one = s.r AND r.two = t.r) OR (r.one = t.r AND r.two = s.r))
+  JOIN {refs} r ON r.kind = 'partners' AND r.one = least(s.r, t.r) AND r.two = greatest(s.r, t.r)
   WHERE l.kind = 'partners'
 ), fit AS (
   SELECT *,
