@@ -206,10 +206,14 @@ def corrections(neighbours: DataFrame) -> DataFrame:
 
     Two words that differ only by scan confusions are compared. A type much rarer than the other is a misreading
     wherever it stands; where both are common, only between neighbours that decide for the other.
+
+    Titles repeat lines of the texts, so frequencies are those of the texts, but words are looked up in the contexts of
+    both fields. A type that no text has counts as often as titles have it.
     """
     spark = neighbours.sparkSession
-    contexts = materialize(neighbours.where("field = 'text'").groupBy("p", "w", "n").count(), "contexts")
-    types = materialize(contexts.groupBy("w").agg(F.sum("count").alias("c")), "types")
+    asked = materialize(neighbours.groupBy("p", "w", "n").agg(F.count_if(F.col("field") == "text").alias("count"), F.count("*").alias("uses")), "contexts")
+    contexts = asked.where("count > 0")
+    types = materialize(asked.groupBy("w").agg(F.sum("count").alias("c"), F.sum("uses").alias("uses")), "types")
     total = types.agg(F.sum("c")).first()[0] or 0
     least = max(VOCABULARY_LEAST, int(total * VOCABULARY_SHARE))
     vocabulary = types.where((F.col("c") >= least) & ~F.col("w").rlike(r"[0-9!ſ]"))
@@ -227,7 +231,8 @@ def corrections(neighbours: DataFrame) -> DataFrame:
 
     found = left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInPandas(look_up, "w string, v string, cost int")
     counts = types.select(F.col("w").alias("v"), F.col("c").alias("cv"))
-    pairs = found.join(types, "w").join(counts, "v")
+    own = types.select("w", F.when(F.col("c") > 0, F.col("c")).otherwise(F.col("uses")).alias("c"))
+    pairs = found.join(own, "w").join(counts, "v")
     sure = F.col("w").rlike(SURE)
     factor = F.when(F.length("w") <= 3, RARER_SHORT).otherwise(RARER)
     pairs = pairs.withColumn("free", F.when(sure, F.col("cv") > F.col("c")).otherwise((F.col("c") * factor * F.col("cost") <= F.col("cv")) & F.lit(True)))
@@ -237,7 +242,7 @@ def corrections(neighbours: DataFrame) -> DataFrame:
 
     left_n = contexts.where("p <> ''").groupBy("p", "w").agg(F.sum("count").alias("m"))
     right_n = contexts.where("n <> ''").groupBy("w", "n").agg(F.sum("count").alias("m"))
-    seen = contexts.join(pairs, "w")
+    seen = asked.join(pairs, "w")
     seen = (
         seen.join(left_n.select("p", F.col("w").alias("v"), F.col("m").alias("pv")), ["p", "v"], "left")
         .join(left_n.select("p", "w", F.col("m").alias("pw")), ["p", "w"], "left")

@@ -169,6 +169,14 @@ def test_scan_noise(spark):  # noqa: ANN001, ANN201
     assert scan_noise.scan_noise(df.limit(0)).isEmpty()
 
 
+def test_misread_titles_have_contexts_of_their_own(spark):  # noqa: ANN001, ANN201
+    rows = [(i, "c0", f"Kabinettschrank {i}.", f"## {i} - Kabinettschrank {i}.") for i in range(10, 40)]
+    rows += [(50, "c0", "Kab!nettschrank.", "## 20 - Kab!nettschrank."), (51, "c0", "Kab1nettschrank.", None), (52, "c0", "Kabinettschrank.", None)]
+    df = spark.createDataFrame(rows, "chunk_id bigint, catalogue_id string, title string, text string")
+    got = {(r.chunk_id, r.field, r.noise, r.span) for r in scan_noise.scan_noise(df).collect()}
+    assert got == {(50, "text", "misread", "Kabinettschrank"), (50, "title", "misread", "Kabinettschrank"), (51, "title", "misread", "Kabinettschrank")}
+
+
 def test_repair_scans(spark):  # noqa: ANN001, ANN201
     got = {r.chunk_id: r.repaired_text for r in scan_noise.repair_scans(scans(spark)).collect()}
     assert got[100] == "1 - Une soupière.\n\nLe pied, en cuivre repoussé, repose sur quatre griffes et porte encore palmettes.\n\n1636."
