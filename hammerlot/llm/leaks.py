@@ -3,7 +3,10 @@
 Postings ``(term, doc, pos)`` of the corpus are stored once. For every window of the wanted length in a test passage
 the two rarest of its terms are looked up; their lists, moved by the place of the term in the passage, are intersected
 to ``(doc, item, shift)``. Only these are checked against the rest of the passage, and runs of consecutive matches are
-read off as exact phrases; words that match a few places off their shift give the proximity matches.
+read off as exact phrases.
+
+Proximity matches have candidates of their own. A passage of which ``m`` words must match hits any ``size - m + k`` of
+its places at least ``k`` times (prefix filter); its rarest places are taken, and hits may lie off their shift.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ from hammerlot.plans.materialize import materialize
 #: Letters that fold to more than one letter.
 LIGATURES = {"ß": "ss", "æ": "ae", "œ": "oe", "ĳ": "ij", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "þ": "th"}
 
+#: Hits that the rarest places of a passage must have near one shift before the whole passage is compared.
+PREFIX_HITS = 12
+
 
 def _folding() -> tuple[str, str]:
     """Each lower-case letter with a diacritic, and its base letter, by Unicode decomposition and for crossed letters."""
@@ -50,6 +56,36 @@ def postings(df: DataFrame, key: str, text: str, terms: DataFrame | None = None)
     return rows if terms is None else rows.join(broadcast_if_small(terms), "term", "left_semi").select("term", "doc", "pos")
 
 
+def _near(passages: DataFrame, rated: DataFrame, index: DataFrame, least: int, slop: int, near_share: float, exact: DataFrame) -> DataFrame:
+    """``(doc, item, kind, n_words, doc_from, item_from)``: for each pair the shift with most words within ``slop``, then the lowest.
+
+    Complete: every pair with enough words at some shift is found, but those of ``exact``.
+    """
+    size = F.size("terms")
+    sized = passages.withColumn("size", size).withColumn("needed", F.greatest(F.lit(least), F.ceil(near_share * size)).cast("int"))
+    sized = sized.where("needed <= size")
+    wanted = min(PREFIX_HITS, max(1, least))
+    by_rarity = W.partitionBy("item", "part").orderBy("n", "ipos")
+    rare = rated.join(sized.select("item", "part", "size", "needed"), ["item", "part"]).withColumn("rank", F.row_number().over(by_rarity))
+    rare = rare.where(F.col("rank") <= F.col("size") - F.col("needed") + wanted).where("n > 0").select("item", "part", "ipos", "term")
+    found = rare.join(index, "term").select("item", "part", "doc", "ipos", (F.col("pos") - F.col("ipos")).alias("hit"))
+    # From the lowest hit near a shift on, all others near it lie within twice `slop`.
+    band = W.partitionBy("item", "part", "doc").orderBy("hit").rangeBetween(0, 2 * slop)
+    seeds = found.withColumn("k", F.size(F.collect_set("ipos").over(band))).where(F.col("k") >= wanted).select("item", "part", "doc", "hit").distinct()
+    seeds = materialize(seeds.join(exact.select("doc", "item").distinct(), ["doc", "item"], "left_anti"), "leak-near-seeds")
+
+    # The whole passage at every place within `slop` of a candidate; each place is looked up once.
+    places = seeds.select("item", "part", "doc", F.explode(F.sequence(F.col("hit") - 2 * slop, F.col("hit") + 2 * slop)).alias("hit")).distinct()
+    beside = places.join(passages, ["item", "part"]).select("item", "part", "doc", "hit", F.posexplode("terms").alias("ipos", "term"))
+    beside = beside.withColumn("pos", F.col("ipos") + F.col("hit")).where("pos >= 0")
+    hits = beside.join(index, ["term", "doc", "pos"], "left_semi").select("item", "part", "doc", "ipos", F.explode(F.sequence(F.col("hit") - slop, F.col("hit") + slop)).alias("shift")).distinct()
+    close = hits.groupBy("item", "part", "doc", "shift").agg(F.count("*").cast("int").alias("n_words"), F.min("ipos").cast("int").alias("item_from"))
+    close = close.join(sized.select("item", "part", "needed"), ["item", "part"]).where(F.col("n_words") >= F.col("needed"))
+    place = F.struct("n_words", (F.col("item_from") + F.col("shift")).cast("int").alias("doc_from"), "item_from")
+    best = close.groupBy("doc", "item").agg(F.max_by(place, F.struct("n_words", -F.col("shift"))).alias("x"))
+    return best.select("doc", "item", F.lit("near").alias("kind"), "x.n_words", "x.doc_from", "x.item_from")
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, least: int = 12, slop: int = 3, near_share: float = 0.75, near: bool = True, doc_key: str = "doc_id", doc_text: str = "text", item_key: str = "item_id", item_text: str = "passage"
 ) -> DataFrame:
@@ -67,14 +103,11 @@ def leaks(
     index = materialize(postings(docs.select(doc_key, doc_text), doc_key, doc_text, wanted.select("term").distinct()), "leak-postings")
     frequency = index.groupBy("term").count()
 
-    # Rarest terms of each window of `least` words. For exact matches two must meet, and a window with a term the corpus
-    # lacks cannot match; for near ones any two of the rarest three, so that one changed word leaves a pair.
+    # Two rarest terms of each window of `least` words. Both must meet, and a window with a term the corpus lacks cannot match.
     rated = wanted.join(frequency, "term", "left").select("item", "part", "ipos", "term", F.coalesce("count", F.lit(0)).alias("n"))
     by_place = W.partitionBy("item", "part").orderBy("ipos").rowsBetween(0, least - 1)
     window = rated.withColumn("w", F.array_sort(F.collect_list(F.struct("n", "ipos", "term")).over(by_place))).where(F.size("w") == least)
-    w = [F.get("w", F.lit(i)) for i in range(3)]
-    chosen = [(w[0], w[1])] + ([(w[0], w[2]), (w[1], w[2])] if near and least > 2 else [])
-    pairs = window.select("item", "part", F.explode(F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in chosen])).alias("pair"))
+    pairs = window.select("item", "part", F.struct(F.get("w", F.lit(0)).alias("a"), F.get("w", F.lit(1)).alias("b")).alias("pair"))
     pairs = pairs.where("pair.a.n > 0").select("item", "part", "pair.a", "pair.b").distinct()
     pairs = pairs.select("item", "part", F.col("a.term").alias("term"), F.col("a.ipos").alias("ipos"), F.col("b.term").alias("term2"), (F.col("b.ipos") - F.col("a.ipos")).alias("step"))
     first = pairs.join(index, "term").select("item", "part", "doc", (F.col("pos") - F.col("ipos")).alias("shift"), F.col("term2").alias("term"), (F.col("pos") + F.col("step")).alias("pos"))
@@ -91,12 +124,4 @@ def leaks(
 
     if not near:
         return exact.withColumnsRenamed({"doc": doc_key, "item": item_key})
-    # Words up to `slop` places beside the shift, where it has half of `least` matches and the pair is no exact one.
-    loose = hits.groupBy("item", "part", "doc", "shift").count().where(F.col("count") * 2 >= least).join(exact.select("doc", "item").distinct(), ["doc", "item"], "left_anti")
-    beside = loose.join(passages, ["item", "part"]).select("item", "part", "doc", "shift", F.size("terms").alias("length"), F.posexplode("terms").alias("ipos", "term"))
-    beside = beside.withColumn("pos", F.explode(F.sequence(F.col("ipos") + F.col("shift") - slop, F.col("ipos") + F.col("shift") + slop))).where("pos >= 0")
-    close = beside.join(index, ["term", "doc", "pos"], "left_semi").groupBy("item", "part", "doc", "shift")
-    close = close.agg(F.count_distinct("ipos").cast("int").alias("n_words"), F.min("ipos").cast("int").alias("item_from"), F.first("length").alias("length"))
-    close = close.where((F.col("n_words") >= least) & (F.col("n_words") >= near_share * F.col("length")))
-    close = close.groupBy("doc", "item").agg(F.max_by(F.struct("n_words", (F.col("item_from") + F.col("shift")).cast("int").alias("doc_from"), "item_from"), F.struct("n_words", -F.col("shift"))).alias("x"))
-    return exact.unionByName(close.select("doc", "item", F.lit("near").alias("kind"), "x.n_words", "x.doc_from", "x.item_from")).withColumnsRenamed({"doc": doc_key, "item": item_key})
+    return exact.unionByName(_near(passages, rated, index, least, slop, near_share, exact)).withColumnsRenamed({"doc": doc_key, "item": item_key})

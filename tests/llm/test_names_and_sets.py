@@ -174,6 +174,42 @@ def test_leaks_against_plain(spark):  # noqa: ANN001, ANN201
         assert doc[r.doc_from : r.doc_from + r.n_words] == item[r.item_from : r.item_from + r.n_words]
 
 
+def near_of(doc, passage, least, slop, share):  # noqa: ANN001, ANN201
+    if any(passage[i : i + least] == doc[j : j + least] for i in range(len(passage) - least + 1) for j in range(len(doc) - least + 1)):
+        return None
+    best = None
+    for shift in range(-len(passage) - slop, len(doc) + slop):
+        got = [i for i, w in enumerate(passage) if w in doc[max(0, i + shift - slop) : max(0, i + shift + slop + 1)]]
+        if len(got) >= max(least, share * len(passage)) and (best is None or len(got) > best[0]):
+            best = (len(got), got[0] + shift, got[0])
+    return best
+
+
+def test_near_leaks_against_plain(spark):  # noqa: ANN001, ANN201
+    chance = random.Random(11)
+    common = [f"w{i}" for i in range(40)]
+    items, docs = [], [[chance.choice(common) for _ in range(40)] for _ in range(20)]
+    for i in range(8):
+        words = [chance.choice(common) for _ in range(28)]
+        for k in range(0, 28, 6):
+            words[k : k + 2] = [f"name{i}x{k}", f"number{i}x{k}"]
+        items.append(words)
+        # Both names of each window replaced by words that stand nowhere else, or by common ones; names seen elsewhere.
+        docs.append([w if w in common or k > 23 else f"other{i}x{k}" for k, w in enumerate(words)])
+        docs.append([w if w in common or k > 20 else "w1" for k, w in enumerate(words)])
+        docs.append([w for w in words if w not in common])
+        # A word put in, or left out, every few words; any word changed.
+        docs.append([x for k, w in enumerate(words) for x in ([w, "inserted"] if k % 4 == 3 else [w])])
+        docs.append([w for k, w in enumerate(words) if k % 7 != 6])
+        docs += [[w if chance.random() > changed else chance.choice(common) for w in words] for changed in (0.1, 0.2, 0.3)]
+    docs = [[chance.choice(common) for _ in range(chance.randint(0, 9))] + d for d in docs]
+    frames = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id bigint, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, passage string")
+    found = leaks.leaks(*frames).where("kind = 'near'").collect()
+    expected = {(d, i): x for d, doc in enumerate(docs) for i, item in enumerate(items) if (x := near_of(doc, item, 12, 3, 0.75))}
+    assert len(expected) > 20 and len(found) == len(expected)
+    assert {(r.doc_id, r.item_id): (r.n_words, r.doc_from, r.item_from) for r in found} == expected
+
+
 def test_leaks_see_through_typing(spark):  # noqa: ANN001, ANN201
     passage = "À la mort de Jean, le notaire öffnete straße cœur und zwölf Kisten — sofort wieder heute."
     docs = [(1, "x A LA MORT DE JEAN le   notaire offnete STRASSE coeur und zwolf kisten sofort wieder heute y"), (2, passage.replace("notaire", "clerc")), (3, passage.replace("zwölf", "elf oder zwölf"))]
