@@ -10,10 +10,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,7 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def _remove_all() -> None:
+def release() -> None:
+    """Delete every table written so far. For long sessions, between queries: frames that read them end with it."""
+    for spark, name in _tables:
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # the session is gone, and its catalogue with it
+            pass
+    _tables.clear()
     for spark, path in _written:
         try:
             jvm = spark.sparkContext._jvm
@@ -39,7 +48,7 @@ def _remove_all() -> None:
     _written.clear()
 
 
-atexit.register(_remove_all)
+atexit.register(release)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -55,3 +64,21 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     writer.parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, by: str, made: Callable[[DataFrame], DataFrame] | None = None, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` bucketed by a column and return the table: joins and groups by that column shuffle nothing.
+
+    The rows are shuffled once here; ``made`` is applied behind the shuffle, so that what it blows up is not sent.
+    ``buckets`` defaults to the session's shuffle partitions. The files lie in the shared folder, one per bucket; only
+    their names are in the catalogue.
+    """
+    spark = df.sparkSession
+    table = f"hammerlot_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/hammerlot/{name}-{uuid.uuid4().hex}"
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(n, by)
+    (made(placed) if made else placed).write.mode("error").option("path", path).bucketBy(n, by).format("parquet").saveAsTable(table)
+    _tables.append((spark, table))
+    _written.append((spark, path))
+    return spark.table(table)
