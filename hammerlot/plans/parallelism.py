@@ -13,3 +13,9 @@ def spread(df: DataFrame, per_slot: int = 4) -> DataFrame:
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= 2 * slots else df.repartition(per_slot * slots)
+
+
+def scatter(df: DataFrame, per_slot: int = 2) -> DataFrame:
+    """``df`` over all slots: for few rows that cost much each, which would else end up in one task for their size."""
+    spark = df.sparkSession
+    return df.repartition(max(per_slot * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
