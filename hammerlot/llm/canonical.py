@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hammerlot.llm.name_parts import closest, common_words, nicknames, parse_names, with_formal_names
 from hammerlot.plans.materialize import materialize
+from hammerlot.plans.parallelism import scatter
 
 # Descriptions of entries that are no person, firm or town, and of towns.
 NEVER = ("family name", "street", "building")
@@ -48,25 +49,30 @@ SELECT key, entity, d FROM ranked WHERE place_in = 1 AND equals = 1
 
 
 def reference_spellings(reference: DataFrame) -> DataFrame:
-    """``(entity, label, description)``: every label and alias of the entries that may be meant."""
+    """``(entity, label, description, is_alias)``: every label and alias of the entries that may be meant."""
     usable = reference.where(~F.coalesce(F.col("wikidata_description"), F.lit("")).isin(*NEVER))
     names = F.concat(F.array("wikidata_label"), F.coalesce(F.split("aliases", ";"), F.array().cast("array<string>")))
-    rows = usable.select(F.col("wikidata_id").alias("entity"), F.explode(names).alias("label"), F.coalesce("wikidata_description", F.lit("")).alias("description"))
-    return rows.where(F.length(F.trim("label")) > 0).distinct()
+    rows = usable.select(F.col("wikidata_id").alias("entity"), F.posexplode(names).alias("at", "label"), F.coalesce("wikidata_description", F.lit("")).alias("description"))
+    return rows.where(F.length(F.trim("label")) > 0).groupBy("entity", "label", "description").agg(F.min(F.when(F.col("at") > 0, 1).otherwise(0)).alias("is_alias"))
 
 
-def map_to_reference(agents: DataFrame, reference: DataFrame, key: str = "agent_id", label: str = "label") -> DataFrame:
-    """``(key, wikidata_id, distance)`` for every row: the entry its label denotes, ``none`` with null distance if none.
+def map_to_reference(agents: DataFrame, reference: DataFrame, key: str = "agent_id", label: str = "label", given: str | None = "wikidata_id") -> DataFrame:
+    """``(key, wikidata_id, distance, match_type, given_id, given_check)`` for every row: the entry its label denotes.
 
     A label fits an entry of its kind whose surnames are within Levenshtein distance 2 each, whose first given name
     agrees (equal, abbreviated, a learned nickname, or a slip) and whose house word does not differ. The nearest entry
-    is taken; if two are equally near the label denotes neither. ``A || B``, null and empty labels give ``none``.
-    Repeated labels are matched once and each row gets the result; ids and extra columns already there are not used.
+    is taken; if two are equally near the label denotes neither. ``A || B``, null and empty labels give ``none`` with a
+    null distance. match_type: ``label`` or ``alias`` where the entry has the very spelling (but for case and outer
+    blanks), ``near`` otherwise, null for ``none``. Repeated labels are matched once and each row gets the result.
+
+    The id a row came with (column ``given``, may be absent) never decides, as it may be wrong; given_check reports it:
+    ``right``, ``wrong`` (another entry is meant), ``unsupported`` (the label denotes none), ``missing`` (none given but
+    one found), null if neither is there. Extra columns are not read.
     """
     spellings = materialize(reference_spellings(reference), "reference-spellings")
     people = spellings.where(F.col("description") != TOWN)
     givens = common_words(people.select("label"))
-    parsed_refs = parse_names(people.select(F.struct("entity", "description").alias("id"), "label"), givens)
+    parsed_refs = parse_names(scatter(people.select(F.struct("entity", "description").alias("id"), "label")), givens)
     parsed_refs = materialize(parsed_refs.select("id.entity", "id.description", "label", "place", "house", "company", "surnames", "kind", "given"), "reference-parts")
     nicks = materialize(nicknames(parsed_refs, givens), "nicknames")
     firsts = parsed_refs.where("kind in ('person', 'firm') and size(given) > 0").select(F.get("given", F.lit(0)).alias("r")).groupBy("r").count().where("count >= 4 and length(r) >= 4").select("r")
@@ -83,7 +89,7 @@ def map_to_reference(agents: DataFrame, reference: DataFrame, key: str = "agent_
     towns = materialize(spellings.where(F.col("description") == TOWN).select("entity", fold_town.alias("one")), "towns")
 
     labels = agents.where(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
-    parsed = parse_names(labels.select(F.col("label").alias("id"), F.regexp_replace("label", r"\((?i:francia|germania|italia|olanda|inghilterra|belgio)\)", " ").alias("label")), givens)
+    parsed = parse_names(scatter(labels).select(F.col("label").alias("id"), F.regexp_replace("label", r"\((?i:francia|germania|italia|olanda|inghilterra|belgio)\)", " ").alias("label")), givens)
     parsed = with_formal_names(parsed, nicks, firsts).select(
         F.col("id").alias("key"), "kind", F.get("surnames", F.lit(0)).alias("one"), F.get("surnames", F.lit(1)).alias("two"), "first", "house", "place", F.get("given", F.lit(1)).alias("rest")
     )
@@ -95,13 +101,16 @@ def map_to_reference(agents: DataFrame, reference: DataFrame, key: str = "agent_
     spark = agents.sparkSession
     matched = spark.sql(_MATCH, labels=parsed, near=near, refs=refs).unionByName(spark.sql(_TOWNS, labels=parsed, near=near_towns, towns=towns))
     matched = materialize(matched, "matched-labels")
-    rows = agents.select(F.col(key).alias("key"), F.col(label).alias("l"))
+    own = F.nullif(F.trim(F.col(given).cast("string")), F.lit("")) if given and given in agents.columns else F.lit(None).cast("string")
+    rows = agents.select(F.col(key).alias("key"), F.col(label).alias("l"), own.alias("given_id"))
     sql = """
-SELECT r.key, m.entity AS wikidata_id, m.d AS distance FROM {rows} r JOIN {matched} m ON r.l = m.key
+WITH exact AS (SELECT entity, lower(trim(label)) AS l, min(is_alias) AS is_alias FROM {spellings} GROUP BY 1, 2),
+typed AS (SELECT m.key, m.entity, m.d, CASE e.is_alias WHEN 0 THEN 'label' WHEN 1 THEN 'alias' ELSE 'near' END AS match_type FROM {matched} m LEFT JOIN exact e ON m.entity = e.entity AND lower(trim(m.key)) = e.l)
+SELECT r.key, m.entity AS wikidata_id, m.d AS distance, m.match_type, r.given_id, CASE WHEN r.given_id IS NULL THEN 'missing' WHEN r.given_id = m.entity THEN 'right' ELSE 'wrong' END AS given_check FROM {rows} r JOIN typed m ON r.l = m.key
 UNION ALL
-SELECT r.key, 'none', cast(NULL AS int) FROM {rows} r LEFT ANTI JOIN {matched} m ON r.l = m.key
+SELECT r.key, 'none', cast(NULL AS int), NULL, r.given_id, CASE WHEN r.given_id IS NOT NULL THEN 'unsupported' END FROM {rows} r LEFT ANTI JOIN {matched} m ON r.l = m.key
 """
-    return spark.sql(sql, rows=rows, matched=matched).withColumnRenamed("key", key)
+    return spark.sql(sql, rows=rows, matched=matched, spellings=spellings).withColumnRenamed("key", key)
 
 
 def _folding() -> tuple[str, str]:

@@ -25,7 +25,9 @@ HOUSE_WORDS = {
 }
 COMPANY = r"(?:(?:&|\bet\b|\bund\b|\bu\b\.?|\band\b|\be\b|-)\s*)?\b(?:cie|c\.\s?ie|comp|co)\b\.?(?!\p{L})"
 TITLES = "dr herr hr mr mme cav prof sig comm monsieur signor"
-PARTICLES = "de von van di du del della zu der den des d ten la le"
+#: Particles are none where a period follows (then they are initials), nor is ``d`` without an apostrophe.
+PARTICLES = "de von van di du del della zu der den des ten la le"
+_PARTICLE = rf"(?<!\p{{L}})(?:d['’`´]\s*(?=\p{{L}})|(?:{'|'.join(PARTICLES.split())})(?![\p{{L}}.]))"
 PARTNERS = r"(\p{L}{5,})\s*(?:&|\+|\bund\b|\bu\b\.?|\bet\b|\band\b|\be\b(?!\.)|-)\s*(\p{L}{5,})"
 
 _PARSE = """
@@ -38,12 +40,12 @@ WITH folded AS (
   FROM folded
 ), housed AS (
   SELECT id, label, double, place, @HOUSE_CASE@ AS house, s RLIKE :company AS company,
-    regexp_replace(regexp_replace(s, :houses, ' '), :company, ' ') AS s
+    regexp_replace(regexp_replace(regexp_replace(s, :houses, ' '), :company, ' '), :particle, ' ') AS s
   FROM placed
 ), cut AS (
   SELECT *, regexp_extract(s, :partners, 1) AS one, regexp_extract(s, :partners, 2) AS two,
-    filter(split(regexp_replace(s, '[^\\\\p{{L}}]+', ' '), ' '), t -> t <> '' AND NOT array_contains(split(:titles, ' '), t) AND NOT array_contains(split(:particles, ' '), t)) AS words,
-    filter(split(regexp_replace(regexp_extract(s, '^([^,]*\\\\p{{L}}[^,]*),\\\\s*[(]?\\\\s*\\\\p{{L}}', 1), '[^\\\\p{{L}}]+', ' '), ' '), t -> t <> '' AND NOT array_contains(split(:particles, ' '), t)) AS leading
+    filter(split(regexp_replace(s, '[^\\\\p{{L}}]+', ' '), ' '), t -> t <> '' AND NOT array_contains(split(:titles, ' '), t)) AS words,
+    filter(split(regexp_replace(regexp_extract(s, '^([^,]*\\\\p{{L}}[^,]*),\\\\s*[(]?\\\\s*\\\\p{{L}}', 1), '[^\\\\p{{L}}]+', ' '), ' '), t -> t <> '') AS leading
   FROM housed
 ), fuzzy AS (
   SELECT *, filter(words, t -> length(t) >= 6 AND NOT array_contains(split(:givens, ' '), t) AND exists(split(:house_words, ' '), h -> levenshtein(t, h) <= if(length(h) >= 9, 2, 1))) AS slips FROM cut
@@ -75,12 +77,19 @@ FROM chosen
 
 
 def common_words(names: DataFrame, share: float = 0.0012, least: int = 4) -> list[str]:
-    """Words that a share of all names has: given names and house words, not surnames. At most ``words / share`` of them,
-    the bound of what comes to the driver."""
-    words = names.select(F.explode(F.array_distinct(F.split(F.regexp_replace(F.translate(F.lower("label"), _SHOWN, _BASE), r"[^\p{L}]+", " "), " "))).alias("w"))
-    counted = words.where(F.length("w") >= 2).groupBy("w").count()
+    """Words that a share of all names has and that mostly stand where given names and house words do: not last, and not
+    before a comma. At most ``words / share`` of them, the bound of what comes to the driver."""
+    bare = F.regexp_replace(F.translate(F.lower("label"), _SHOWN, _BASE), r"<[^<>]*>|\([^()]*\)|_", " ")
+    single = names.select(bare.alias("s")).where(~F.col("s").rlike(PARTNERS))
+    split = r"[^\p{L}]+"
+    head = F.filter(F.split(F.when(F.col("s").rlike(r"\p{L}[^,]*,\s*\p{L}"), F.substring_index("s", ",", 1)).otherwise(""), split), lambda w: w != "")
+    words = F.array_distinct(F.filter(F.split("s", split), lambda w: w != ""))
+    placed = single.select(head.alias("head"), words.alias("words")).where(F.size("words") > 1)
+    family = F.when(F.size("head") > 0, F.col("head")).otherwise(F.slice("words", -1, 1))
+    flat = placed.select(F.explode(F.transform("words", lambda w: F.struct(w.alias("w"), F.array_contains(family, w).alias("last")))).alias("x")).select("x.*")
+    counted = flat.where(F.length("w") >= 2).groupBy("w").agg(F.count("*").alias("n"), F.count_if("last").alias("lasts"))
     n = names.count()
-    return [r.w for r in counted.where(F.col("count") >= max(least, int(n * share))).select("w").collect()]
+    return [r.w for r in counted.where((F.col("n") >= max(least, int(n * share))) & (2 * F.col("lasts") < F.col("n"))).select("w").collect()]
 
 
 def parse_names(names: DataFrame, givens: list[str]) -> DataFrame:
@@ -94,7 +103,7 @@ def parse_names(names: DataFrame, givens: list[str]) -> DataFrame:
     slip = "CASE " + " ".join(f"WHEN exists(slips, t -> levenshtein(t, '{w}') <= {2 if len(w) >= 9 else 1}) THEN '{c}'" for w, c in HOUSE_WORDS.items()) + " END"
     args = {
         "shown": _SHOWN, "base": _BASE, "company": COMPANY, "houses": "|".join(HOUSES.values()), "partners": PARTNERS,
-        "titles": TITLES, "particles": PARTICLES, "givens": " ".join(givens) or " ", "house_words": " ".join(HOUSE_WORDS),
+        "titles": TITLES, "particle": _PARTICLE, "givens": " ".join(givens) or " ", "house_words": " ".join(HOUSE_WORDS),
     }
     query = _PARSE.replace("@HOUSE_CASE@", house).replace("@SLIP_CASE@", slip)
     return names.sparkSession.sql(query, args=args, labels=names)
@@ -105,7 +114,9 @@ def closest(asked: DataFrame, known: DataFrame, k: int = 2) -> DataFrame:
 
     Pigeonhole: ``r`` is cut into k + 1 segments; one of them stands unchanged in any ``q`` within distance k, shifted
     by k places at most. So the equality join is on (length of r, number of the segment, its text), with the substrings
-    of ``q`` at the places it may have moved to, and the built-in ``levenshtein`` verifies. Null strings match nothing.
+    of ``q`` at the places it may have moved to, and the built-in ``levenshtein`` verifies. Strings ``r`` of at most k
+    letters cannot be cut so: they share a letter with any longer ``q`` within k, or ``q`` is as short, and there every
+    pair is within k. Null strings match nothing.
     """
     sql = f"""
 WITH r AS (SELECT DISTINCT r FROM {{known}} WHERE r IS NOT NULL AND length(r) > {k}),
@@ -120,10 +131,12 @@ spots AS (
 ), pieces AS (
   SELECT DISTINCT q, n, i, substring(q, at + 1 + shift, m) AS piece
   FROM spots LATERAL VIEW explode(sequence(-{k}, {k})) AS shift WHERE at + shift >= 0 AND at + shift + m <= length(q)
-), candidates AS (SELECT DISTINCT q, r FROM pieces JOIN segments USING (n, i, piece))
+), candidates AS (SELECT DISTINCT q, r FROM pieces JOIN segments USING (n, i, piece)),
+short_r AS (SELECT r, c FROM (SELECT DISTINCT r FROM {{known}} WHERE length(r) <= {k}) LATERAL VIEW explode(array_append(split(r, ''), ' ')) AS c),
+short_q AS (SELECT q, c FROM q LATERAL VIEW explode(array_append(split(q, ''), if(length(q) <= {k}, ' ', NULL))) AS c WHERE length(q) <= {2 * k} AND c IS NOT NULL)
 SELECT q, r, levenshtein(q, r) AS d FROM candidates WHERE levenshtein(q, r) <= {k}
 UNION ALL
-SELECT q, r, levenshtein(q, r) AS d FROM q JOIN (SELECT DISTINCT r FROM {{known}} WHERE length(r) <= {k}) ON q = r
+SELECT q, r, levenshtein(q, r) AS d FROM (SELECT DISTINCT q, r FROM short_q JOIN short_r USING (c)) WHERE levenshtein(q, r) <= {k}
 """
     return asked.sparkSession.sql(sql, asked=asked, known=known)
 
@@ -132,7 +145,7 @@ def nicknames(parsed: DataFrame, givens: list[str]) -> DataFrame:
     """``(nick, formal)`` learned from reference rows ``(entity, kind, surnames, given)`` that name one entity twice.
 
     Two first names of an entity with the same surname are one name's forms; the form more entities have is the formal
-    one. A short form that merely begins the formal one needs no entry.
+    one. A short form that merely begins the formal one needs no entry. A form of a form is one of the formal name.
     """
     sql = """
 WITH g AS (SELECT DISTINCT entity, array_join(surnames, '+') AS surname, given[0] AS g FROM {parsed} WHERE kind IN ('person', 'firm') AND size(given) > 0 AND length(given[0]) >= 2),
@@ -141,8 +154,8 @@ p AS (
   SELECT a.g AS nick, b.g AS formal, count(*) AS c FROM g a JOIN g b USING (entity, surname)
   JOIN n na ON na.g = a.g JOIN n nb ON nb.g = b.g
   WHERE a.g <> b.g AND nb.n > na.n AND length(b.g) >= 4 AND NOT startswith(b.g, a.g) GROUP BY 1, 2
-)
-SELECT nick, max_by(formal, struct(c, formal)) AS formal FROM p WHERE c >= 2 GROUP BY nick
+), best AS (SELECT nick, max_by(formal, struct(c, formal)) AS formal FROM p WHERE c >= 2 GROUP BY nick)
+SELECT a.nick, coalesce(c.formal, b.formal, a.formal) AS formal FROM best a LEFT JOIN best b ON a.formal = b.nick LEFT JOIN best c ON b.formal = c.nick
 """
     return parsed.sparkSession.sql(sql, parsed=parsed)
 

@@ -27,6 +27,13 @@ def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clusters(spark, sf_dir)
 
 
+def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest names of each name; the limit is the feature."""
+    from hammerlot.llm.variants import nearest_spellings
+
+    return nearest_spellings(_table(spark, sf_dir, "reconciled_agents"), _table(spark, sf_dir, "authority"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_mapped(spark, sf_dir).select("agent_id", "wikidata_id")
 
@@ -112,7 +119,7 @@ def p8_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_clusters, p2_found, p2_mapped, p3_found, p3_spans, p4_found, p4_rendered, p5_found, p5_repaired, p6_found, p6_matches, p7_uses, p7_shares, p8_found, p8_sentences)
+    for f in (p1_found, p1_clusters, p1_neighbours, p2_found, p2_mapped, p3_found, p3_spans, p4_found, p4_rendered, p5_found, p5_repaired, p6_found, p6_matches, p7_uses, p7_shares, p8_found, p8_sentences)
 }
 
 ORACLES: dict[str, str] = {}

@@ -8,56 +8,57 @@ gives the same clusters as merging one closest pair at a time, and no cluster is
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hammerlot.llm.canonical import reference_spellings
-from hammerlot.llm.name_parts import common_words, nicknames, parse_names, with_formal_names
+from hammerlot.llm.name_parts import closest, common_words, nicknames, parse_names, with_formal_names
 from hammerlot.plans.materialize import materialize
+from hammerlot.plans.parallelism import scatter
+from hammerlot.plans.skew import salted
 
 GRAMS = (2, 3)
 #: Grams rarer than this share of the names weigh no more: most of them are slips.
 RARE_SHARE = 0.002
 RARE_LEAST = 6
 #: Pairs below this cosine count as 0 in the averages.
-CANDIDATE = 0.3
+CANDIDATE = 0.4
 #: Clusters merge while their average similarity reaches this.
-LINK = 0.4
-#: Edits that two spellings of one surname may be apart.
-EDITS = 4
+LINK = 0.57
 
 
 def ngrams(text: Column, n: int) -> Column:
-    """Character n-grams of a string with a blank at both ends; of a string shorter than n, the string itself."""
+    """Character n-grams of a string with a blank at both ends, the letters of each in alphabetical order.
+
+    So a pair of letters typed the wrong way round changes few of them. A string shorter than n is one gram.
+    """
     padded = F.concat(F.lit(" "), text, F.lit(" "))
     count = F.greatest(F.length(padded) - n + 1, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(padded, i, F.lit(n)))
+    return F.transform(F.sequence(F.lit(1), count), lambda i: F.concat(F.lit(str(n)), F.array_join(F.array_sort(F.split(F.substring(padded, i, F.lit(n)), "")), "")))
 
 
-def cosine_pairs(nodes: DataFrame, threshold: float = CANDIDATE, carry: tuple[str, ...] = (), keep: Callable[[str, str], Column] | None = None, top_n: int | None = None) -> DataFrame:
-    """``(a, b, cosine)``, a < b: pairs of ``nodes(id, block, grams)`` in one block whose cosine reaches ``threshold``.
+def cosine_pairs(nodes: DataFrame, blocks: DataFrame, threshold: float = CANDIDATE, top_n: int | None = None) -> DataFrame:
+    """``(a, b, cosine)``, a < b: pairs of ``nodes(id, grams)`` that share a block and whose cosine reaches ``threshold``.
 
-    Complete by default. ``keep(x, y)`` may name a condition on the columns ``carry`` of both sides, as ``x_`` and ``y_``
-    prefixed, that pairs must meet; it is asked where rows meet, so refused pairs are never stored. ``top_n`` keeps the
-    best n partners of each node for callers that ask for a report.
+    ``blocks(id, block)``: one or more blocks of each node. Complete by default. ``top_n`` keeps each node's best n
+    partners (ties by id): a pair stays if either end has it among its best, so with n at least the largest number of
+    partners the result is the complete one. A gram that many nodes of a block have is split over tasks.
     """
-    flat = nodes.select("id", "block", F.explode("grams").alias("g")).groupBy("id", "block", "g").agg(F.count("*").alias("tf"))
+    flat = nodes.select("id", F.explode("grams").alias("g")).groupBy("id", "g").agg(F.count("*").alias("tf"))
     n = nodes.count()
     df = flat.groupBy("g").agg(F.count("*").alias("df"))
-    weighted = flat.join(df, "g").select("id", "block", "g", "df", (F.col("tf") * F.log1p(F.lit(float(n)) / F.greatest("df", F.lit(max(RARE_SHARE * n, RARE_LEAST))))).alias("w"))
+    rarity = F.sqrt(F.log1p(F.lit(float(n)) / F.greatest("df", F.lit(max(RARE_SHARE * n, RARE_LEAST)))))
+    weighted = flat.join(df, "g").select("id", "g", "df", (F.col("tf") * rarity).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("id")))
-    unit = materialize(weighted.select("id", "block", "g", "df", (F.col("w") / norm).alias("w")), "gram-weights")
+    unit = materialize(weighted.select("id", F.xxhash64("g").alias("g"), "df", (F.col("w") / norm).alias("w")), "gram-weights")
     # Rarest first; a gram is indexed while the grams from it on can still make up the threshold.
     rest = F.sum(F.col("w") * F.col("w")).over(W.partitionBy("id").orderBy("df", "g").rowsBetween(W.currentRow, W.unboundedFollowing))
-    prefix = unit.withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("id", "block", "g")
-    prefix = materialize(prefix.join(nodes.select("id", *carry), "id"), "gram-prefixes")
-    x = prefix.withColumnsRenamed({c: f"x_{c}" for c in ("id", *carry)})
-    y = prefix.withColumnsRenamed({c: f"y_{c}" for c in ("id", *carry)})
-    met = x.join(y, ["block", "g"]).where(F.col("x_id") < F.col("y_id"))
-    pairs = (met.where(keep("x_", "y_")) if keep else met).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+    prefix = unit.withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("id", "g")
+    prefix = materialize(prefix.join(blocks, "id").select("block", "g", "id"), "gram-prefixes")
+    x, y = salted(prefix, ["block", "g"])
+    met = x.withColumnRenamed("id", "a").join(y.withColumnRenamed("id", "b"), ["block", "g", "salt"]).where("a < b")
+    pairs = met.select("a", "b").distinct()
     # The dot product as a join on shared grams of the pairs left, not as a look-up per gram.
     left = unit.select(F.col("id").alias("a"), "g", F.col("w").alias("wa"))
     right = unit.select(F.col("id").alias("b"), "g", F.col("w").alias("wb"))
@@ -74,31 +75,31 @@ def average_linkage(nodes: DataFrame, edges: DataFrame, link: float = LINK) -> D
     and negative ones keep clusters apart.
 
     Each round merges all clusters that are each other's nearest, ties going to the edge with the smaller ids, so a
-    round always merges at least the closest pair of all.
+    round always merges at least the closest pair of all. An edge carries the sizes of its clusters, so a round reads
+    and writes the edges once and the merged pairs once.
     """
+    sums = materialize(edges.select("a", "b", F.col("s").cast("double").alias("s"), F.lit(1).cast("bigint").alias("na"), F.lit(1).cast("bigint").alias("nb")), "linkage-0")
     members = nodes.select("id", F.col("id").alias("cluster"))
-    sizes = nodes.select(F.col("id").alias("c"), F.lit(1).cast("bigint").alias("n"))
-    sums = materialize(edges.select("a", "b", F.col("s").cast("double").alias("s")), "linkage-0")
     depth = 0
     while True:
-        average = F.col("s") / (F.col("na") * F.col("nb"))
-        rated = sums.join(sizes.select(F.col("c").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b")
-        close = rated.select("a", "b", average.alias("avg")).where(F.col("avg") >= link)
-        ends = close.select(F.col("a").alias("x"), "a", "b", "avg").unionByName(close.select(F.col("b").alias("x"), "a", "b", "avg"))
-        best = ends.groupBy("x").agg(F.max_by(F.struct("a", "b"), F.struct(F.round("avg", 9), -F.col("a"), -F.col("b"))).alias("e"))
-        merged = best.groupBy("e").count().where("count = 2").select(F.col("e.b").alias("old"), F.col("e.a").alias("new"))
+        close = sums.withColumn("avg", F.col("s") / (F.col("na") * F.col("nb"))).where(F.col("avg") >= link)
+        ends = close.select(F.explode(F.array("a", "b")).alias("x"), "a", "b", "avg", (F.col("na") + F.col("nb")).alias("n"))
+        best = ends.groupBy("x").agg(F.max_by(F.struct("a", "b", "n"), F.struct(F.round("avg", 9), -F.col("a"), -F.col("b"))).alias("e"))
+        merged = best.groupBy("e").count().where("count = 2").select(F.explode(F.array("e.a", "e.b")).alias("c"), F.col("e.a").alias("to"), F.col("e.n").alias("n"))
         merged = materialize(merged, f"linkage-merged-{depth}")
         if merged.isEmpty():
             return members
         depth += 1
+        members = members.join(merged.select(F.col("c").alias("cluster"), "to"), "cluster", "left").select("id", F.coalesce("to", "cluster").alias("cluster"))
 
-        def moved(frame: DataFrame, column: str) -> DataFrame:
-            return frame.join(merged.withColumnRenamed("old", column), column, "left").withColumn(column, F.coalesce("new", column)).drop("new")
+        def moved(frame: DataFrame, end: str) -> DataFrame:
+            new = merged.select(F.col("c").alias(end), "to", "n")
+            return frame.join(new, end, "left").withColumn(end, F.coalesce("to", end)).withColumn(f"n{end}", F.coalesce("n", f"n{end}")).drop("to", "n")
 
-        sums = moved(moved(sums, "a"), "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s")
-        sums = materialize(sums.groupBy("a", "b").agg(F.sum("s").alias("s")), f"linkage-{depth}")
-        members = materialize(moved(members, "cluster"), f"linkage-members-{depth}")
-        sizes = materialize(moved(sizes, "c").groupBy("c").agg(F.sum("n").alias("n")), f"linkage-sizes-{depth}")
+        both = moved(moved(sums, "a"), "b").where("a <> b")
+        turned = F.col("a") > F.col("b")
+        both = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s", F.when(turned, F.col("nb")).otherwise(F.col("na")).alias("na"), F.when(turned, F.col("na")).otherwise(F.col("nb")).alias("nb"))
+        sums = materialize(both.groupBy("a", "b").agg(F.sum("s").alias("s"), F.max("na").alias("na"), F.max("nb").alias("nb")), f"linkage-{depth}")
 
 
 def _agree(x: Column, y: Column) -> Column:
@@ -107,46 +108,67 @@ def _agree(x: Column, y: Column) -> Column:
     return F.coalesce(F.startswith(x, y) | F.startswith(y, x) | slip, x.isNull() & y.isNull())
 
 
-def spelling_clusters(agents: DataFrame, reference: DataFrame | None = None, key: str = "agent_id", label: str = "label", kind: str | None = "agent_type") -> DataFrame:
-    """``(key, cluster, n_links)`` for each row: rows of one cluster name the same person or firm.
+def _blocks(nodes: DataFrame) -> DataFrame:
+    """``(id, block)`` so that any two names of one kind whose given names may agree share a block, of ``nodes(id, kind, first)``.
 
-    A row with a null or empty label, a ``A || B`` label or a place is a cluster of its own. ``n_links`` counts the
-    similar spellings that the row's spelling was compared with and passed the check. ``reference`` (labels and aliases
-    of known names) teaches given names and nicknames; without it only abbreviations of given names are understood.
-    Repeated rows share their spelling's cluster; extra columns are not read.
+    A block is a kind and a first letter of given names. A given name a slip away from one with another letter is in that
+    one's block too; the pigeonhole join of all given names finds these completely.
     """
+    own = nodes.select("id", "kind", "first", F.coalesce(F.substring("first", 1, 1), F.lit("")).alias("letter"))
+    firsts = own.where(F.length("first") >= 5).select("first").distinct()
+    near = closest(firsts.select(F.col("first").alias("q")), firsts.select(F.col("first").alias("r")))
+    slips = near.select(F.col("q").alias("first"), F.substring("r", 1, 1).alias("letter")).where("letter <> substring(first, 1, 1)").distinct()
+    more = own.drop("letter").join(slips, "first").select("id", "kind", "letter")
+    return own.select("id", "kind", "letter").unionByName(more).select("id", F.concat_ws("|", "kind", "letter").alias("block"))
+
+
+#: Columns that make two spellings one name.
+NAME = ["kind", "one", "two", "first", "house"]
+
+
+def _compared(agents: DataFrame, reference: DataFrame | None, key: str, label: str, kind: str | None, top_n: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows, the parts of their spellings, the distinct names, and the similar pairs of these."""
     is_place = F.coalesce(F.col(kind).contains("Place"), F.lit(False)) if kind else F.lit(False)
     rows = agents.select(F.col(key).alias("key"), F.col(label).alias("label"), is_place.alias("place_row"))
     spelled = materialize(rows.where("label is not null and not place_row").select("label").distinct(), "spellings")
     if reference is not None:
-        taught = materialize(reference_spellings(reference).select("entity", "label"), "taught-names")
+        taught = materialize(reference_spellings(reference).select("entity", "label").distinct(), "taught-names")
         givens = common_words(taught)
-        parts = materialize(parse_names(taught.select(F.col("entity").alias("id"), "label"), givens).withColumnRenamed("id", "entity"), "taught-parts")
+        parts = materialize(parse_names(scatter(taught.select(F.col("entity").alias("id"), "label")), givens).withColumnRenamed("id", "entity"), "taught-parts")
         nicks = materialize(nicknames(parts, givens), "taught-nicknames")
-        firsts = parts.where("kind in ('person', 'firm') and size(given) > 0").select(F.get("given", F.lit(0)).alias("r")).groupBy("r").count().where("count >= 4 and length(r) >= 4").select("r")
     else:
         givens = common_words(spelled)
-        parts = None
-        nicks = spelled.sparkSession.createDataFrame([], "nick string, formal string")
-        firsts = spelled.sparkSession.createDataFrame([], "r string")
-    parsed = with_formal_names(parse_names(spelled.select(F.col("label").alias("id"), "label"), givens), nicks, firsts)
+        parts, nicks = None, spelled.sparkSession.createDataFrame([], "nick string, formal string")
+    named = parse_names(scatter(spelled.select(F.col("label").alias("id"), "label")), givens)
+    if parts is None:
+        # Given names of at least two spellings teach which ones are slips.
+        named = materialize(named, "spelling-names")
+    taught_firsts = (named if parts is None else parts).where("kind in ('person', 'firm') and size(given) > 0").select(F.get("given", F.lit(0)).alias("r")).groupBy("r").count()
+    firsts = taught_firsts.where(f"count >= {2 if parts is None else 4} and length(r) >= 4").select("r")
+    parsed = with_formal_names(named, nicks, firsts)
     parsed = materialize(
         parsed.where("kind in ('person', 'firm', 'partners')").select(
             "label", "kind", F.get("surnames", F.lit(0)).alias("one"), F.coalesce(F.get("surnames", F.lit(1)), F.lit("")).alias("two"), "first", "house"
         ),
         "spelling-parts",
     )
-    name = ["kind", "one", "two", "first", "house"]
-    nodes = materialize(parsed.groupBy(*name).agg(F.min("label").alias("l")).withColumn("id", F.xxhash64(*[F.coalesce(c, F.lit("\u0000")) for c in name])), "spelling-nodes")
-    block = F.concat_ws("|", "kind", F.coalesce(F.substring("first", 1, 1), F.lit("")))
+    nodes = materialize(parsed.groupBy(*NAME).agg(F.min("label").alias("l")).withColumn("id", F.xxhash64(*[F.coalesce(c, F.lit("\u0000")) for c in NAME])), "spelling-nodes")
     grams = F.concat(*[F.concat(ngrams(F.col("one"), n), F.when(F.col("two") != "", ngrams(F.col("two"), n)).otherwise(F.array().cast("array<string>"))) for n in GRAMS])
-    def near(x: str, y: str) -> Column:
-        one, two, other_one, other_two = (F.col(f"{side}{c}") for side in (x, y) for c in ("one", "two"))
-        straight = (F.levenshtein(one, other_one, EDITS) >= 0) & (F.levenshtein(two, other_two, EDITS) >= 0)
-        crossed = (two != "") & (other_two != "") & (F.levenshtein(one, other_two, EDITS) >= 0) & (F.levenshtein(two, other_one, EDITS) >= 0)
-        return straight | crossed
+    pairs = cosine_pairs(scatter(nodes.select("id", grams.alias("grams"))), _blocks(nodes), top_n=top_n)
+    return rows, parsed, nodes, pairs
+
+
+def spelling_clusters(agents: DataFrame, reference: DataFrame | None = None, key: str = "agent_id", label: str = "label", kind: str | None = "agent_type") -> DataFrame:
+    """``(key, cluster, n_links)`` for each row: rows of one cluster name the same person or firm.
 
-    pairs = cosine_pairs(nodes.select("id", block.alias("block"), grams.alias("grams"), "one", "two"), carry=("one", "two"), keep=near)
+    A row with a null or empty label, a ``A || B`` label or a place is a cluster of its own. ``n_links`` counts the
+    similar spellings that the row's spelling was compared with and passed the check. ``reference`` (labels and aliases
+    of known names) teaches given names and nicknames; without it given names are learned from
+    the labels and no nicknames are known.
+    Repeated rows share their spelling's cluster; extra columns are not read.
+    """
+    rows, parsed, nodes, pairs = _compared(agents, reference, key, label, kind)
+    name = NAME
     x = nodes.select(F.col("id").alias("a"), F.col("first").alias("x_first"), F.col("house").alias("x_house"))
     y = nodes.select(F.col("id").alias("b"), F.col("first").alias("y_first"), F.col("house").alias("y_house"))
     checked = pairs.join(x, "a").join(y, "b")
@@ -164,8 +186,18 @@ def spelling_clusters(agents: DataFrame, reference: DataFrame | None = None, key
     return placed.select(F.col("key").alias(key), F.when(F.col("linked"), F.col("cluster")).otherwise(alone).alias("cluster"), F.when(F.col("linked"), F.col("n_links")).otherwise(F.lit(0)).alias("n_links"))
 
 
+def nearest_spellings(agents: DataFrame, reference: DataFrame | None = None, top_n: int = 10, key: str = "agent_id", label: str = "label", kind: str | None = "agent_type") -> DataFrame:
+    """``(spelling, other, cosine)``: a report of the ``top_n`` nearest names of each name by cosine, each name shown by its
+    first spelling. The same join as ``spelling_clusters``, which takes all partners. Places and null labels have none."""
+    _, _, nodes, pairs = _compared(agents, reference, key, label, kind, top_n)
+    shown = nodes.select("id", "l")
+    named = pairs.join(shown.withColumnsRenamed({"id": "a", "l": "spelling"}), "a").join(shown.withColumnsRenamed({"id": "b", "l": "other"}), "b")
+    return named.select("spelling", "other", F.round("cosine", 6).alias("cosine"))
+
+
 def pairs_of_clusters(clusters: DataFrame, key: str = "agent_id") -> DataFrame:
-    """``(key_a, key_b)``, a < b: all pairs of rows in one cluster. Its size is the number of answers asked for."""
-    x = clusters.select(F.col(key).alias(f"{key}_a"), "cluster")
-    y = clusters.select(F.col(key).alias(f"{key}_b"), "cluster")
-    return x.join(y, "cluster").where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b")
+    """``(key_a, key_b)``, a < b: all pairs of rows in one cluster. Its size is the number of answers asked for; a large
+    cluster is split over tasks."""
+    x, y = salted(clusters.select(key, "cluster"), ["cluster"])
+    x, y = x.withColumnRenamed(key, f"{key}_a"), y.withColumnRenamed(key, f"{key}_b")
+    return x.join(y, ["cluster", "salt"]).where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b")

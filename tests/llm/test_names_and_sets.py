@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hammerlot.llm import canonical, leaks, mixing, name_parts, variants
+from hammerlot.plans.skew import salted
 
 AUTHORITY = "wikidata_id string, wikidata_label string, wikidata_description string, aliases string"
 
@@ -30,7 +31,7 @@ def test_closest_is_complete(spark, k):  # noqa: ANN001, ANN201
     words = ["".join(chance.choice("abc") for _ in range(chance.randint(0, 7))) for _ in range(90)]
     q, r = words[:45], words[45:]
     got = {(x.q, x.r, x.d) for x in name_parts.closest(spark.createDataFrame([(w,) for w in [*q, None]], "q string"), spark.createDataFrame([(w,) for w in [*r, None]], "r string"), k).collect()}
-    expected = {(a, b, lev(a, b)) for a in q for b in r if (lev(a, b) <= k if len(b) > k else a == b)}
+    expected = {(a, b, lev(a, b)) for a in q for b in r if lev(a, b) <= k}
     assert got == expected
 
 
@@ -95,17 +96,75 @@ def test_cosine_pairs_against_all_pairs(spark):  # noqa: ANN001, ANN201
     chance = random.Random(8)
     names = list({"".join(chance.choice("abcde") for _ in range(chance.randint(3, 9))) for _ in range(70)})
     df = spark.createDataFrame([(i, "b", n) for i, n in enumerate(names)], "id bigint, block string, n string")
-    got = {(r.a, r.b): r.cosine for r in variants.cosine_pairs(df.select("id", "block", variants.ngrams(F.col("n"), 2).alias("grams")), 0.4).collect()}
-    grams = [Counter((f" {n} ")[i : i + 2] for i in range(len(n) + 1)) for n in names]
+    nodes = df.select("id", variants.ngrams(F.col("n"), 2).alias("grams"))
+    # A second block that some share must not repeat their pairs.
+    blocks = df.select("id", "block").unionByName(df.where("id < 20").select("id", F.lit("c").alias("block")))
+    got = {(r.a, r.b): r.cosine for r in variants.cosine_pairs(nodes, blocks, 0.4).collect()}
+    grams = [Counter("".join(sorted(f" {n} "[i : i + 2])) for i in range(len(n) + 1)) for n in names]
     seen = Counter(g for x in grams for g in x)
     vectors = []
     for x in grams:
-        v = {g: c * math.log1p(len(names) / max(seen[g], variants.RARE_SHARE * len(names), variants.RARE_LEAST)) for g, c in x.items()}
+        v = {g: c * math.sqrt(math.log1p(len(names) / max(seen[g], variants.RARE_SHARE * len(names), variants.RARE_LEAST))) for g, c in x.items()}
         norm = math.sqrt(sum(w * w for w in v.values()))
         vectors.append({g: w / norm for g, w in v.items()})
     expected = {(i, j): c for i in range(len(names)) for j in range(i + 1, len(names)) if (c := sum(w * vectors[j].get(g, 0) for g, w in vectors[i].items())) >= 0.4}
     assert got.keys() == expected.keys()
     assert all(got[p] == pytest.approx(expected[p]) for p in got)
+    # With n at least the largest number of partners the best n are all; with fewer, each end keeps its best.
+    partners = Counter(i for p in expected for i in p)
+    most = variants.cosine_pairs(nodes, blocks, 0.4, top_n=max(partners.values())).collect()
+    assert {(r.a, r.b) for r in most} == expected.keys()
+    two = {(r.a, r.b) for r in variants.cosine_pairs(nodes, blocks, 0.4, top_n=2).collect()}
+    best = {i: sorted((p for p in expected if i in p), key=lambda p: (-round(expected[p], 9), p))[:2] for i in partners}
+    assert {tuple(p) for ps in best.values() for p in ps} >= two and len(two) < len(expected)
+
+
+@pytest.mark.parametrize("key_rows", [1, 3, 1000])
+def test_salted_pairs_meet_once(spark, key_rows):  # noqa: ANN001, ANN201
+    rows = [(i, "hot" if i < 9 else f"k{i % 3}") for i in range(15)] + [(3, "hot"), (99, None)]
+    x, y = salted(spark.createDataFrame(rows, "i int, k string"), ["k"], key_rows)
+    got = Counter((r.a, r.b) for r in x.withColumnRenamed("i", "a").join(y.withColumnRenamed("i", "b"), ["k", "salt"]).collect())
+    assert got == Counter((a, b) for a, k in rows for b, m in rows if k == m and k is not None)
+
+
+@pytest.mark.parametrize("name", [*name_parts.PARTICLES.split(), "d"])
+def test_initial_is_no_particle(spark, name):  # noqa: ANN001, ANN201
+    """A period makes it an initial, before or behind the surname; without one only ``d`` is."""
+    labels = [f"{name.title()}. Gallimigolennec", f"Gallimigolennec, {name.title()}.", f"Karl {name} Gallimigolennec", f"{name.title()}. A. Gallimigolennec", "Karl d'Gallimigolennec"]
+    df = spark.createDataFrame(list(enumerate(labels)), "id int, label string")
+    got = {r.id: (r.kind, r.surnames, r.given) for r in name_parts.parse_names(df, ["karl"]).collect()}
+    assert got[0] == got[1] == ("person", ["gallimigolennec"], [name])
+    assert got[2] == ("person", ["gallimigolennec"], ["karl", "d"] if name == "d" else ["karl"])
+    assert got[3] == ("person", ["gallimigolennec"], [name, "a"])
+    assert got[4] == ("person", ["gallimigolennec"], ["karl"])
+
+
+def test_names_without_reference(spark):  # noqa: ANN001, ANN201
+    """A surname that comes often is no given name, and a slip in the first letter of a given name parts nobody."""
+    groups = [
+        ["Domenico Gallimigolennec", "Gallimigolennec, Domenico", "D. Gallimigolennec", "Gallimigolennec, D.", "Tomenico Gallimigolennec"],
+        ["Eberhard Ostiananderstraat", "Ostiananderstraat, Eberhard", "E. Ostiananderstraat", "Ostiananderstraat, E."],
+        ["Eberhard Gallimigolennec"],
+    ]
+    df = spark.createDataFrame([(i * 100 + j, label, "x/E21_Person") for i, g in enumerate(groups) for j, label in enumerate(g)], "agent_id bigint, label string, agent_type string")
+    got = {(r.agent_id_a, r.agent_id_b) for r in variants.pairs_of_clusters(variants.spelling_clusters(df)).collect()}
+    assert got == {(i * 100 + a, i * 100 + b) for i, g in enumerate(groups) for a in range(len(g)) for b in range(a + 1, len(g))}
+
+
+def test_given_ids_are_reported(spark):  # noqa: ANN001, ANN201
+    cases = [("Friedrich Zenobiettinwick", "P1", "label", "right"), ("Fritz Zenobiettinwick", "P2", "alias", "wrong"), ("Fritz Zenobiettinwik", None, "near", "missing"), ("Pascal Gantolkamp", "N1", None, "unsupported"), (None, None, None, None)]
+    df = spark.createDataFrame([(i, c[0], c[1]) for i, c in enumerate(cases)], "agent_id bigint, label string, wikidata_id string")
+    got = {r.agent_id: (r.match_type, r.given_check) for r in canonical.map_to_reference(df, authority(spark)).collect()}
+    assert got == {i: (c[2], c[3]) for i, c in enumerate(cases)}
+    assert {r.given_check for r in canonical.map_to_reference(df.drop("wikidata_id"), authority(spark)).collect()} == {"missing", None}
+
+
+def test_forms_of_forms_are_one_name(spark):  # noqa: ANN001, ANN201
+    forms = {"mathurin": "abcdefg", "thurin": "abchi", "math": "hi"}
+    rows = [(e, "person", ["x" + e], [g]) for g, entities in forms.items() for e in entities]
+    nicks = name_parts.nicknames(spark.createDataFrame(rows, "entity string, kind string, surnames array<string>, given array<string>"), [])
+    got = {r.nick: r.formal for r in nicks.collect()}
+    assert got == {"thurin": "mathurin", "math": "mathurin"}
 
 
 def test_average_linkage_against_plain(spark):  # noqa: ANN001, ANN201
