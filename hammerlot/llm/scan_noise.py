@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hammerlot.llm.vocabulary_trie import CONFUSION, Trie
+from hammerlot.llm.vocabulary_trie import query_keys, within_shard
 from hammerlot.plans.broadcasting import broadcast_if_small
 from hammerlot.plans.materialize import materialize
 from hammerlot.plans.parallelism import spread
@@ -32,13 +32,16 @@ RARER = 6
 RARER_SHORT = 25
 #: Neighbour counts must favour the other word by this factor where both are common.
 CONTEXT_FACTOR = 12
-#: A word enters the vocabulary at this share of all words, so it holds at most the inverse of it in types.
-VOCABULARY_SHARE = 2e-7
+#: Times that a word must stand in the texts to enter the vocabulary.
 VOCABULARY_LEAST = 3
 #: A word belongs to the wording of headers if capital lines of this share of the catalogues have it.
 WORDING_SHARE = 0.004
-#: Vocabulary words in one trie; a larger vocabulary is searched shard by shard.
-TRIE_WORDS = 400_000
+#: White space at the ends of lines.
+BLANKS = " \t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Listed vocabulary words of one task, and word types that ask there; beyond it a task's types are split.
+SHARD_WORDS, SHARD_TYPES = 100_000, 50_000
+#: Least letters of a word that only its neighbours show to be misread beyond the known confusions.
+PLAIN_LETTERS = 6
 
 _PAGE_NUMBER = r"^\s*(?:[-—–~]\s*)?(?:\[\s*|\(\s*)?(?:(?:[Pp]ag(?:e|ina)?|[Pp]|[Ss]eite|[Ss]|[Bb]lz|[Bb]ladz)\b\.?\s*)?[0-9IlOSB]{1,4}(?:\s*\]|\s*\))?(?:\s*[-—–~]|\s+\.)?\s*$"
 _NUMBER_AT_END = r"^\s*\d{1,4}\s+|\s+[-—–|]?\s*\d{1,4}\s*$"
@@ -72,7 +75,11 @@ def lines_of(df: DataFrame, text: str, key: str, catalogue: str) -> DataFrame:
 def furniture_lines(df: DataFrame, text: str = "text", key: str = "chunk_id", catalogue: str = "catalogue_id") -> DataFrame:
     """``(key, line_no, line, noise)`` with noise ``header`` or ``pageno``, one row per line of page furniture."""
     lines = lines_of(df, text, key, catalogue)
-    line = F.trim(F.regexp_replace("line", r"(?U)^\s+|\s+$", ""))
+    line = F.col("line")
+    lines = lines.withColumn("line", F.trim(line, F.lit(BLANKS)))
+    # What can be neither is left out first: long lines, and those with a word in small letters but no three capitals in a row.
+    prose = line.rlike(r"(?:^|\s)[\p{Ll}][\p{L}]{3,}")
+    lines = lines.where((F.length(line) <= 90) & (~prose | line.rlike(r"\p{Lu}\P{L}*\p{Lu}\P{L}*\p{Lu}") | line.rlike(_PAGE_NUMBER)))
     letters = F.regexp_replace(line, r"[^\p{L}]", "")
     capitals = F.length(F.regexp_replace(letters, r"[^\p{Lu}]", "")) >= 0.8 * F.length(letters)
     hashed = line.startswith("#")
@@ -90,9 +97,9 @@ def furniture_lines(df: DataFrame, text: str = "text", key: str = "chunk_id", ca
 
     words = heads.select("key", "catalogue", "line_no", (F.col("capitals") & ~F.col("hashed")).alias("capitals"), F.explode(F.array_distinct(F.split("wording", " "))).alias("word"))
     # Wording: words that capital lines of a share of all catalogues have, three at least; names of owners are rarer.
-    catalogues = heads.agg(F.approx_count_distinct("catalogue", 0.02)).first()[0] or 0
+    catalogues = heads.agg(F.count_distinct("catalogue")).first()[0] or 0
     least = max(3, int(catalogues * WORDING_SHARE))
-    common = words.where("capitals").groupBy("word").agg(F.approx_count_distinct("catalogue", 0.02).alias("n")).where(F.col("n") >= least).select("word", F.lit(True).alias("common"))
+    common = words.where("capitals and catalogue is not null").select("catalogue", "word").distinct().groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("word", F.lit(True).alias("common"))
     # Owner: another word of a capital line that stands in lines of at least two texts of the catalogue.
     owners = words.where("capitals and length(word) >= 5").groupBy("catalogue", "word").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("catalogue", "word", F.lit(True).alias("owner"))
     judged = (
@@ -127,6 +134,7 @@ _MASK = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|\\begin\{(verbatim|equati
 _PART = r"(?:[^\W_]|!(?=[^\W_])|(?<=[^\W\d_])!(?=\s+[a-zà-ÿ]))"
 _WORD = re.compile(rf"{_PART}+(?:['’]{_PART}+|-{_PART}+)*")
 _JOINT = re.compile(rf"[{HYPHENS}][^\S\n]*\n?[^\S\n]*(?=[^\W\d_]|!|\d[^\W\d_])")
+_HYPHEN_SET = frozenset(HYPHENS)
 _STOP_BETWEEN = re.compile(r"[.;:?…(),\n]\s*\n|[.;:?…(]")
 CONJUNCTIONS = frozenset("und oder u bzw sowie et ou e o ed od en of and or bis y".split())
 
@@ -146,11 +154,12 @@ def cut(text: str, furniture: set[int]) -> tuple[list[str], list[str]]:
     at = 0
     pieces: list[str] = []
     while m := _WORD.search(text, at):
-        if at and not pieces and _STOP_BETWEEN.search(text, at, m.start()):
+        start, end = m.span()
+        # Most words are a blank apart.
+        if at and not pieces and (start - at != 1 or text[at] != " ") and _STOP_BETWEEN.search(text, at, start):
             words.append("")
         piece = m.group()
-        end = m.end()
-        joint = _JOINT.match(text, end)
+        joint = _JOINT.match(text, end) if text[end : end + 1] in _HYPHEN_SET else None
         if joint and not joint.group()[-1:].strip() and not piece.isdigit():
             pieces.append(piece)
             at = joint.end()
@@ -165,44 +174,68 @@ def cut(text: str, furniture: set[int]) -> tuple[list[str], list[str]]:
     return words, broken
 
 
+PLACES = 1_000_000
+_SEPARATOR = re.compile(r"['’-]")
+
+
+def parts_of(words: list[str]) -> tuple[list[str], list[int]]:
+    """Parts of words between hyphens and apostrophes in one row, ``""`` for a stop, and where each stands: the number of
+    its word times ``PLACES`` and its number in the word."""
+    parts: list[str] = []
+    places: list[int] = []
+    for at, word in enumerate(words):
+        if word.isalnum():
+            parts.append(word)
+            places.append(at * PLACES)
+        else:
+            for j, part in enumerate(_SEPARATOR.split(word)):
+                parts.append(part)
+                places.append(at * PLACES + j)
+    return parts, places
+
+
 def _fields(df: DataFrame, furniture: DataFrame, text: str, title: str, key: str) -> DataFrame:
-    """``(key, field, words, broken)``; texts are cut after their furniture is gone."""
+    """``(key, field, words, parts, places, broken, alone)``; texts are cut once, after their furniture is gone.
+
+    ``alone`` holds the parts of broken words, which have no neighbours.
+    """
     taken = furniture.groupBy("key").agg(F.collect_set("line_no").alias("taken"))
     source = df.select(F.col(key).alias("key"), F.col(text).alias("body"), F.col(title).alias("head")).where("body is not null or head is not null")
     source = spread(source).join(taken, "key", "left")
 
+    def row(k: object, field: str, words: list[str], broken: list[str]) -> tuple:
+        return (k, field, words, *parts_of(words), broken, parts_of([b.replace("\u0001", "") for b in broken])[0])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for k, body, head, lines in zip(batch["key"], batch["body"], batch["head"], batch["taken"], strict=True):
                 if body:
-                    rows.append((k, "text", *cut(body, set(lines) if lines is not None else set())))
+                    rows.append(row(k, "text", *cut(body, set(lines) if lines is not None else set())))
                 if head:
-                    rows.append((k, "title", *cut(head, set())))
+                    rows.append(row(k, "title", *cut(head, set())))
             if rows:
-                yield pd.DataFrame(rows, columns=["key", "field", "words", "broken"])
+                yield pd.DataFrame(rows, columns=["key", "field", "words", "parts", "places", "broken", "alone"])
 
     kind = df.schema[key].dataType.simpleString()
-    return source.mapInPandas(run, f"key {kind}, field string, words array<string>, broken array<string>")
+    return source.mapInPandas(run, f"key {kind}, field string, words array<string>, parts array<string>, places array<bigint>, broken array<string>, alone array<string>")
 
 
 def _neighbours(fields: DataFrame) -> DataFrame:
     """``(key, field, p, w, n)``: each word part in lower case with its neighbours, ``""`` for none."""
-    parts = F.transform(F.col("words"), lambda x: F.split(F.lower(x), r"['’-]"))
-    joined = F.transform(F.col("broken"), lambda x: F.split(F.lower(F.replace(x, F.lit("\u0001"), F.lit(""))), r"['’-]"))
-    alone = F.flatten(F.transform(F.flatten(joined), lambda x: F.array(F.lit(""), x)))
-    flat = fields.select("key", "field", F.concat(F.flatten(parts), alone).alias("x"))
-    zipped = F.transform(
-        "x", lambda w, i: F.struct(F.when(i > 0, F.get("x", i - 1)).otherwise("").alias("p"), w.alias("w"), F.coalesce(F.get("x", i + 1), F.lit("")).alias("n"))
-    )
-    return flat.select("key", "field", F.inline(zipped)).where("w <> ''")
+    alone = F.flatten(F.transform("alone", lambda x: F.array(F.lit(""), F.lower(x))))
+    flat = fields.select("key", "field", F.concat(F.transform("parts", lambda x: F.lower(x)), alone).alias("x"))
+    # The row of words is only looked into, so nothing but the three words leaves this stage.
+    placed = flat.select("key", "field", "x", F.posexplode("x").alias("i", "w")).where("w <> ''")
+    return placed.select("key", "field", F.when(F.col("i") > 0, F.get("x", F.col("i") - 1)).otherwise("").alias("p"), "w", F.coalesce(F.get("x", F.col("i") + 1), F.lit("")).alias("n"))
 
 
 SURE = r"(?:\p{L}[0-9!]|[0-9!]\p{L}|ſ)"
 
 
-def corrections(neighbours: DataFrame) -> DataFrame:
-    """``(p, w, n, v)``: for a word ``w`` between ``p`` and ``n`` that was misread, the word ``v`` the page had.
+def corrections(neighbours: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(p, w, n, v)``: for a word ``w`` between ``p`` and ``n`` that was misread, the word ``v`` the page had. And
+    ``(w, number)``: all types that are corrected somewhere or are numbers with letters in them.
 
     Two words that differ only by scan confusions are compared. A type much rarer than the other is a misreading
     wherever it stands; where both are common, only between neighbours that decide for the other.
@@ -210,35 +243,23 @@ def corrections(neighbours: DataFrame) -> DataFrame:
     Titles repeat lines of the texts, so frequencies are those of the texts, but words are looked up in the contexts of
     both fields. A type that no text has counts as often as titles have it.
     """
-    spark = neighbours.sparkSession
     asked = materialize(neighbours.groupBy("p", "w", "n").agg(F.count_if(F.col("field") == "text").alias("count"), F.count("*").alias("uses")), "contexts")
     contexts = asked.where("count > 0")
     types = materialize(asked.groupBy("w").agg(F.sum("count").alias("c"), F.sum("uses").alias("uses")), "types")
-    total = types.agg(F.sum("c")).first()[0] or 0
-    least = max(VOCABULARY_LEAST, int(total * VOCABULARY_SHARE))
-    vocabulary = types.where((F.col("c") >= least) & ~F.col("w").rlike(r"[0-9!ſ]"))
+    vocabulary = types.where((F.col("c") >= VOCABULARY_LEAST) & ~F.col("w").rlike(r"[0-9!ſ]"))
     # Number-like types are settled by rule, single letters are no words to look up.
     queries = types.where((F.length("w") >= 2) & F.col("w").rlike(r"\p{L}") & ~F.col("w").rlike(r"^[0-9ilosb]*[0-9][0-9ilosb]*$"))
-    shards = max(1, -(-vocabulary.count() // TRIE_WORDS))
-    salts = 3 * spark.sparkContext.defaultParallelism
-    left = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.hash("w"), F.lit(salts)).alias("salt"), "w")
-    right = vocabulary.select(F.pmod(F.hash("w"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.col("w").alias("v"))
-
-    def look_up(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        trie = Trie(known["v"])
-        rows = [(w, v, cost) for w in asked["w"] for v, cost in trie.within(w).items() if cost]
-        return pd.DataFrame(rows, columns=["w", "v", "cost"])
-
-    found = left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInPandas(look_up, "w string, v string, cost int")
+    found = _candidates(queries.select("w"), vocabulary.select(F.col("w").alias("v")))
     counts = types.select(F.col("w").alias("v"), F.col("c").alias("cv"))
     own = types.select("w", F.when(F.col("c") > 0, F.col("c")).otherwise(F.col("uses")).alias("c"))
     pairs = found.join(own, "w").join(counts, "v")
     sure = F.col("w").rlike(SURE)
     factor = F.when(F.length("w") <= 3, RARER_SHORT).otherwise(RARER)
-    pairs = pairs.withColumn("free", F.when(sure, F.col("cv") > F.col("c")).otherwise((F.col("c") * factor * F.col("cost") <= F.col("cv")) & F.lit(True)))
-    # General edits are kept for types that cannot be words; among plain words only confusions count.
-    pairs = pairs.withColumn("edits", _is_edit(F.col("w"), F.col("v"), F.col("cost")))
-    pairs = materialize(pairs.where((F.col("edits") == 0) | (sure & F.col("free"))).where("free or (cost = 1 and cv * 2 > c)"), "pairs")
+    pairs = pairs.withColumn("free", F.when(sure, F.col("cv") > F.col("c")).otherwise(F.col("c") * factor * F.col("cost") <= F.col("cv")))
+    # A type that cannot be a word may need any edit. A plain one that no confusion explains needs both neighbours for it.
+    plain = (F.col("edits") > 0) & ~sure
+    pairs = pairs.withColumn("plain", plain).where("free or (edits = 0 and cost = 1 and cv * 2 > c)")
+    pairs = materialize(pairs.where(~F.col("plain") | ((F.length("w") >= PLAIN_LETTERS) & (F.col("c") < VOCABULARY_LEAST))), "pairs")
 
     left_n = contexts.where("p <> ''").groupBy("p", "w").agg(F.sum("count").alias("m"))
     right_n = contexts.where("n <> ''").groupBy("w", "n").agg(F.sum("count").alias("m"))
@@ -253,55 +274,49 @@ def corrections(neighbours: DataFrame) -> DataFrame:
     better_left = (F.col("pv") >= CONTEXT_FACTOR * F.col("pw")) & (F.col("pv") > 0)
     better_right = (F.col("vn") >= CONTEXT_FACTOR * F.col("wn")) & (F.col("vn") > 0)
     by_context = better_left & better_right
-    by_rarity = F.col("free") & (sure | (F.col("pv") + F.col("vn") + 2 >= F.col("pw") + F.col("wn")))
+    by_rarity = F.col("free") & ~F.col("plain") & (sure | (F.col("pv") + F.col("vn") + 2 >= F.col("pw") + F.col("wn")))
     score = F.struct(-F.col("edits"), -F.col("cost"), F.col("pv") + F.col("vn"), F.col("cv"), F.col("v"))
     best = seen.where(by_rarity | by_context).groupBy("p", "w", "n").agg(F.max_by("v", score).alias("v"))
-    return materialize(best, "corrections")
+    best = materialize(best, "corrections")
+    numbers = types.where(F.col("w").rlike(r"^[0-9ilosb]{2,}$") & F.col("w").rlike(r"\d") & F.col("w").rlike(r"\D")).select("w", F.lit(True).alias("number"))
+    return best, materialize(best.select("w", F.lit(False).alias("number")).union(numbers).groupBy("w").agg(F.max("number").alias("number")), "misread-types")
 
 
-def _is_edit(w: Column, v: Column, cost: Column) -> Column:
-    """1 if the pair needs a general edit (cost 2 that no two confusions explain), else 0."""
+def _candidates(queries: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``(w, v, cost, edits)``: every word ``v`` of the vocabulary within the budget of ``w``, but ``w`` itself.
 
-    @F.pandas_udf("int")
-    def edits(ws: pd.Series, vs: pd.Series, costs: pd.Series) -> pd.Series:
-        return pd.Series([0 if c == CONFUSION or _confusions_only(a, b) else 1 for a, b, c in zip(ws, vs, costs, strict=True)], dtype="int32")
-
-    return edits(w, v, cost)
-
-
-def _confusions_only(shown: str, meant: str, budget: int = 2) -> bool:
-    return meant in _OnlyConfusions(meant).within(shown, budget)
-
-
-class _OnlyConfusions(Trie):
-    """Trie of one word whose automaton has no general edits."""
-
-    def __init__(self, word: str) -> None:
-        super().__init__([word])
+    Both sides are sent to the shards of the trie that their beginnings and ends name. Shards are put into tasks of a
+    bounded number of vocabulary words; where more types ask there than one task should take, they are split.
+    """
 
-    def within(self, query: str, budget: int = 2) -> dict[str, int]:
-        from hammerlot.llm import vocabulary_trie
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(k, w) for w in batch["w"] for k in query_keys(w)]
+            yield pd.DataFrame(rows, columns=["key", "w"])
 
-        found, stack, end = {}, [(self.root, 0, 0)], len(query)
-        while stack:
-            node, i, cost = stack.pop()
-            if i == end:
-                if "" in node:
-                    found[node[""]] = min(cost, found.get(node[""], budget))
-                continue
-            if query[i] in node:
-                stack.append((node[query[i]], i + 1, cost))
-            if cost < budget:
-                for shown, meant in vocabulary_trie._READ.get(query[i], ()):
-                    if query.startswith(shown, i):
-                        child = node
-                        for char in meant:
-                            child = child.get(char)
-                            if child is None:
-                                break
-                        if child is not None:
-                            stack.append((child, i + len(shown), cost + CONFUSION))
-        return found
+    v = F.col("v")
+    keys = F.array(
+        F.concat(F.lit("F"), v.substr(1, 2)), F.when(F.length(v) >= 3, F.concat(F.lit("R"), F.right(v, F.lit(2)))),
+        F.when(F.length(v).between(2, 4), F.concat(F.lit("S"), F.right(v, F.lit(1)))), F.when(F.length(v) <= 3, F.lit("T")),
+    )
+    listed = materialize(vocabulary.select(F.explode(F.array_compact(keys)).alias("key"), "v"), "vocabulary-shards")
+    tasks = max(64, -(-listed.count() // SHARD_WORDS))
+    task = F.pmod(F.xxhash64("key"), F.lit(tasks)).alias("task")
+    asking = materialize(spread(queries).mapInPandas(keyed, "key string, w string").join(listed.select("key").distinct(), "key", "left_semi").select(task, "key", "w"), "type-shards")
+    parts = asking.groupBy("task").agg(F.ceil(F.count("*") / SHARD_TYPES).cast("int").alias("parts"))
+    left = asking.join(parts, "task").select("task", F.pmod(F.xxhash64("w"), F.col("parts")).alias("part"), "key", "w")
+    right = listed.select(task, "key", "v").join(parts, "task").select("task", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts").cast("bigint") - 1)).alias("part"), "key", "v")
+
+    def look_up(types: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        words = known.groupby("key")["v"]
+        rows: list[tuple[str, str, int, int]] = []
+        for key, asked in types.groupby("key")["w"]:
+            rows += within_shard(key, words.get_group(key), asked)
+        return pd.DataFrame(rows, columns=["w", "v", "cost", "edits"])
+
+    found = left.groupBy("task", "part").cogroup(right.groupBy("task", "part")).applyInPandas(look_up, "w string, v string, cost int, edits int")
+    best = found.groupBy("w", "v").agg(F.min(F.struct("edits", "cost")).alias("x"))
+    return best.select("w", "v", "x.cost", "x.edits")
 
 
 def _number(part: Column) -> Column:
@@ -317,34 +332,20 @@ def _cased(shown: Column, meant: Column) -> Column:
     return F.when(upper & (F.length(letters) > 2), F.upper(meant)).when(shown.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(meant, 1, 1)), meant.substr(F.lit(2), F.length(meant)))).otherwise(meant)
 
 
-def _repaired_words(fields: DataFrame, fixes: DataFrame) -> DataFrame:
-    """``(key, field, shown, span)``: words with a misread part, as they stand and as the page had them."""
-    words = F.transform(
-        F.col("words"),
-        lambda x, i: F.struct(
-            x.alias("x"),
-            F.when(i > 0, F.element_at(F.split(F.lower(F.get("words", i - 1)), r"['’-]"), -1)).otherwise("").alias("before"),
-            F.coalesce(F.get(F.split(F.lower(F.get("words", i + 1)), r"['’-]"), F.lit(0)), F.lit("")).alias("after"),
-        ),
-    )
-    flat = fields.select("key", "field", F.posexplode(words).alias("at", "s")).where("s.x <> ''").select("key", "field", "at", "s.*")
-    return _repair_parts(flat, fixes)
-
-
-def _repair_parts(flat: DataFrame, fixes: DataFrame) -> DataFrame:
-    parts = F.split("x", r"['’-]")
-    p = flat.withColumn("parts", parts).select("key", "field", "at", "x", "before", "after", "parts", F.posexplode("parts").alias("j", "part"))
-    p = p.select(
-        "key", "field", "at", "x", "j", "part",
-        F.lower("part").alias("w"),
-        F.when(F.col("j") > 0, F.lower(F.get("parts", F.col("j") - 1))).otherwise(F.col("before")).alias("p"),
-        F.coalesce(F.lower(F.get("parts", F.col("j") + 1)), F.col("after")).alias("n"),
+def _repaired_words(fields: DataFrame, fixes: DataFrame, wrong: DataFrame) -> DataFrame:
+    """``(key, field, shown, span)``: words with a misread part, as they stand and as the page had them.
+
+    ``wrong(w, number)``: the types in question, which are those of ``fixes`` and numbers with letters in them.
+    """
+    flat = fields.select("key", "field", "words", "parts", "places", F.transform("parts", lambda x: F.lower(x)).alias("low"))
+    # Most words have no correction anywhere; where the types that have are few enough to be sent round, the others stop here.
+    placed = flat.select("*", F.posexplode("low").alias("i", "w")).join(broadcast_if_small(wrong), "w")
+    place = F.get("places", F.col("i"))
+    p = placed.select(
+        "key", "field", F.when(F.col("i") > 0, F.get("low", F.col("i") - 1)).otherwise("").alias("p"), "w", F.coalesce(F.get("low", F.col("i") + 1), F.lit("")).alias("n"),
+        F.get("parts", F.col("i")).alias("part"), F.get("words", (place / PLACES).cast("int")).alias("x"), F.floor(place / PLACES).alias("at"), F.pmod(place, F.lit(PLACES)).cast("int").alias("j"), "number",
     )
-    # Most words have no correction anywhere; where the misread types are few enough to be sent round, the others stop here.
-    numbers = p.withColumn("right", _number(F.col("part"))).where("right is not null")
-    misread = p.join(broadcast_if_small(fixes.select("w").distinct()), "w", "left_semi").join(fixes, ["p", "w", "n"])
-    misread = misread.where(_number(F.col("part")).isNull()).withColumn("right", _cased(F.col("part"), F.col("v"))).drop("v")
-    p = numbers.unionByName(misread)
+    p = p.join(fixes, ["p", "w", "n"], "left").where("number or v is not null").withColumn("right", F.coalesce(_number(F.col("part")), _cased(F.col("part"), F.col("v"))))
     changed = p.where(F.col("right").isNotNull() & (F.col("right") != F.col("part")))
     # Repeated rows of one key give one entry per part.
     changed = changed.groupBy("key", "field", "at", "x", "j").agg(F.max("right").alias("right"))
@@ -354,7 +355,7 @@ def _repair_parts(flat: DataFrame, fixes: DataFrame) -> DataFrame:
     return got.select("key", "field", F.col("x").alias("shown"), rebuilt.alias("span"))
 
 
-def _broken_words(fields: DataFrame, types: DataFrame) -> DataFrame:
+def _broken_words(fields: DataFrame) -> DataFrame:
     """``(key, field, shown, word)``: broken words put together, with their own hyphen where the corpus writes one."""
     b = fields.select("key", "field", F.explode(F.array_distinct("broken")).alias("shown"))
     shown = b.select("shown").distinct()
@@ -364,7 +365,10 @@ def _broken_words(fields: DataFrame, types: DataFrame) -> DataFrame:
     masks = F.explode(F.expr("sequence(0, if(k <= 5, shiftleft(1, k - 1), 1) - 1)"))
     forms = forms.select("shown", "k", "pieces", masks.alias("mask"))
     joined = F.expr("aggregate(sequence(1, k - 1), pieces[0], (acc, i) -> concat(acc, if((shiftright(mask, i - 1) & 1) = 1, '-', ''), pieces[i]))")
-    forms = forms.select("shown", "mask", joined.alias("word")).withColumn("w", F.lower("word"))
+    forms = materialize(forms.select("shown", "mask", joined.alias("word")).withColumn("w", F.lower("word")), "joined-forms")
+    # How often the texts write each form; words that are no form stop before they are counted.
+    written = fields.where("field = 'text'").select(F.explode("words").alias("x")).where("x <> ''").select(F.lower("x").alias("w"))
+    types = written.join(broadcast_if_small(forms.select("w").distinct()), "w", "left_semi").groupBy("w").agg(F.count("*").alias("c"))
     rated = forms.join(types.select("w", "c"), "w", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     second = F.lower(F.element_at(F.split("shown", "\u0001"), -1))
     best = rated.groupBy("shown").agg(F.max_by("word", F.struct("c", -F.col("mask"))).alias("word"), F.max("c").alias("c"))
@@ -393,11 +397,9 @@ def _findings(df: DataFrame, text: str, title: str, key: str, catalogue: str) ->
     df = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(title).alias("title"), F.col(catalogue).alias("catalogue"))
     furniture = materialize(furniture_lines(df, "text", "key", "catalogue"), "furniture")
     fields = materialize(_fields(df, furniture, "text", "title", "key"), "fields")
-    fixes = corrections(_neighbours(fields))
-    whole = fields.where("field = 'text'").select(F.explode("words").alias("x")).select(F.lower("x").alias("w")).where("w <> ''")
-    types = materialize(whole.groupBy("w").agg(F.count("*").alias("c")), "whole-words")
-    hyphens = _broken_words(fields, types)
-    misread = _repaired_words(fields, fixes)
+    fixes, wrong_types = corrections(_neighbours(fields))
+    hyphens = _broken_words(fields)
+    misread = _repaired_words(fields, fixes, wrong_types)
     # A broken word may be misread too: its parts are looked up without neighbours.
     alone = fixes.where("p = '' and n = ''").select("w", "v")
     parts = hyphens.select("key", "field", "shown", "word", F.posexplode(F.split("word", r"['’-]")).alias("j", "part")).withColumn("w", F.lower("part"))

@@ -29,7 +29,7 @@ class Rule:
     before: str
     after: str
     breaks: bool
-    reach: int = 24
+    quoted: bool = False
 
 
 @dataclass(frozen=True)
@@ -37,12 +37,12 @@ class Compiled:
     before: re.Pattern[str]
     after: re.Pattern[str]
     breaks: bool
-    reach: int
+    quoted: bool
 
 
-def rule(before: str, after: str, breaks: bool, reach: int = 24) -> Rule:
-    """``reach``: characters in front of the position that ``before`` may look at."""
-    return Rule(before, after, breaks, reach)
+def rule(before: str, after: str, breaks: bool, quoted: bool = False) -> Rule:
+    """``quoted``: ``before`` holds a whole quotation; other rules hold a word or number and the signs behind it."""
+    return Rule(before, after, breaks, quoted)
 
 
 def compiled(rules: list[Rule]) -> tuple[Compiled, ...]:
@@ -51,15 +51,15 @@ def compiled(rules: list[Rule]) -> tuple[Compiled, ...]:
     Inside such a stretch the order has no effect on the verdict, so first match still decides.
     """
     out: list[Compiled] = []
-    stretch: dict[tuple[str, int], list[str]] = {}
+    stretch: dict[tuple[str, bool], list[str]] = {}
     verdict = None
     for r in [*rules, None]:
         if r is None or r.breaks != verdict:
-            out += [Compiled(re.compile(rf"(?:{'|'.join(x)})\Z"), re.compile(after), bool(verdict), reach) for (after, reach), x in stretch.items()]
+            out += [Compiled(re.compile(rf"(?:{'|'.join(x)})\Z"), re.compile(after), bool(verdict), quoted) for (after, quoted), x in stretch.items()]
             stretch = {}
         if r is not None:
             verdict = r.breaks
-            stretch.setdefault((r.after, r.reach), []).append(r.before)
+            stretch.setdefault((r.after, r.quoted), []).append(r.before)
     return tuple(out)
 
 
@@ -126,7 +126,7 @@ SCRIPT_RULES: dict[str, list[Rule]] = {
         rule(r".", r"\s*", False),
     ],
     "cjk": [
-        rule(r"[:：]\s*[“「『\"«][^“「『]*[。！？!?…][”」』\"»]+", r"\s*\S", True, 160),
+        rule(r"[:：]\s*[“「『\"«][^“「『]*[。！？!?…][”」』\"»]+", r"\s*\S", True, quoted=True),
         rule(r"[。！？!?…][”」』\"»]+", r"\s*[぀-ヿ㐀-鿿，、]", False),
         rule(r"[。！？!?…][”’」』）)\]\"»]*", r"", True),
         rule(r"\.[”’」』）)\]\"»]*", r"\s+\S", True),
@@ -198,7 +198,8 @@ _SPANS = re.compile(
 _THAI_GAP = re.compile(r"(?<=[฀-๿0-9A-Za-z.!?\"”)])[^\S]+(?=\S)")
 
 
-def _script_before(text: str, end: int, start: int) -> str:
+def _script_before(text: str, end: int, start: int) -> str | None:
+    """Script of the last letter between ``start`` and ``end``, None if there is none."""
     for i in range(end - 1, start - 1, -1):
         char = text[i]
         if char.isalpha() or "ऀ" <= char <= "๿":
@@ -208,16 +209,61 @@ def _script_before(text: str, end: int, start: int) -> str:
                 if pattern.match(char):
                     return name
             return "latin"
-    return "latin"
+    return None
 
 
-def _decide(text: str, position: int, start: int, end: int, lang: str) -> bool:
-    after = text[position : min(end, position + 40)]
-    script = _script_before(text, position, max(start, position - 60))
-    if not after.strip():
+#: Letters that the longest word of a rule may have; the signs, digits and blanks behind it come on top, however many.
+_WORD_LETTERS = 24
+_SIGNS = frozenset(".!?…。！？।॥؟۔;·\"”’»“«)]}』」）〕")
+_NOTHING = re.compile(r"\s*\Z")
+
+
+def _word_start(text: str, position: int, start: int, walked: list[int] | None = None) -> int:
+    """Where the word in front of ``position`` may begin: before its signs, its digits and the blanks before these.
+
+    ``walked`` keeps the last position and the start of its signs, so that a long run of signs is walked over once.
+    """
+    at = position
+    while at > start and text[at - 1] in _SIGNS:
+        at -= 1
+        if walked and at == walked[0]:
+            at = walked[1]
+            break
+    if walked is not None:
+        walked[:] = position, at
+    while at > start and text[at - 1].isdigit():
+        at -= 1
+    while at > start and text[at - 1].isspace():
+        at -= 1
+    return max(start, at - _WORD_LETTERS)
+
+
+def _quotation_start(text: str, position: int, start: int) -> int:
+    """The last opening quotation mark before ``position``, with the blanks and the one sign before it."""
+    at = max(text.rfind(mark, start, position) for mark in "“「『")
+    if at < 0:
+        return start
+    while at > start and text[at - 1].isspace():
+        at -= 1
+    return max(start, at - 1)
+
+
+def _decide(text: str, position: int, start: int, end: int, lang: str, script: str, walked: list[int]) -> bool:
+    if _NOTHING.match(text, position, end):
         return True
+    word = quotation = -1
     for r in cascade(script, lang):
-        if r.after.match(after) and r.before.search(text, max(start, position - r.reach), position):
+        if not r.after.match(text, position, end):
+            continue
+        if r.quoted:
+            if quotation < 0:
+                quotation = _quotation_start(text, position, start)
+            begin = quotation
+        else:
+            if word < 0:
+                word = _word_start(text, position, start, walked)
+            begin = word
+        if r.before.search(text, begin, position):
             return r.breaks
     return False
 
@@ -228,6 +274,8 @@ def _split_span(text: str, start: int, end: int, lang: str) -> Iterator[int]:
     spans = [(start + m.start(), start + m.end()) for m in _SPANS.finditer(piece)]
     ends: set[int] = set()
     k = 0
+    # Script of the last letter so far; each letter is looked at once.
+    script, scanned, walked = "latin", start, [start, start]
     for m in _STOP.finditer(text, start, end):
         position = m.end()
         while k < len(spans) and spans[k][1] <= m.start():
@@ -242,15 +290,21 @@ def _split_span(text: str, start: int, end: int, lang: str) -> Iterator[int]:
         closing = _CLOSERS.match(text, position, end)
         if closing and not any(s == position for s, _ in spans[k : k + 2]):
             position = closing.end()
-        if m.group()[0] in ";·" and not _script_before(text, m.start(), start) == "greek":
+        if m.group()[0] in ";·" and (_script_before(text, m.start(), scanned) or script) != "greek":
             continue
-        if _decide(text, position, start, end, lang):
+        if position > scanned:
+            script, scanned = _script_before(text, position, scanned) or script, position
+        if _decide(text, position, start, end, lang, script, walked):
             ends.add(position)
     if "฀" <= max(piece, default="") and re.search(r"[฀-๿]", piece):
+        script, scanned, k, walked = "latin", start, 0, [start, start]
         for m in _THAI_GAP.finditer(text, start, end):
-            if any(s < m.start() < e for s, e in spans):
+            while k < len(spans) and spans[k][1] <= m.start():
+                k += 1
+            if k < len(spans) and spans[k][0] < m.start() < spans[k][1]:
                 continue
-            if _script_before(text, m.start(), start) == "thai" and _decide(text, m.start(), start, end, lang):
+            script, scanned = _script_before(text, m.start(), scanned) or script, m.start()
+            if script == "thai" and _decide(text, m.start(), start, end, lang, script, walked):
                 ends.add(m.start())
     yield from sorted(ends)
     if not ends or text[max(ends) : end].strip():

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 
 from hammerlot.llm import languages, markup, scan_noise, sentences
-from hammerlot.llm.vocabulary_trie import CONFUSIONS, Trie
+from hammerlot.llm.vocabulary_trie import CONFUSIONS, Trie, query_keys, within_shard, word_keys
 
 
 def cut(text, lang=None):  # noqa: ANN001, ANN201
@@ -55,10 +56,26 @@ def test_sentences_cover_long_text():  # noqa: ANN201
     merged = sentences.compiled(rules)
     single = [c for r in rules for c in sentences.compiled([r])]
     for e in range(1, min(len(text), 3000)):
-        first = [next((c.breaks for c in table if c.after.match(text[e : e + 40]) and c.before.search(text, max(0, e - c.reach), e)), False) for table in (merged, single)]
+        first = [next((c.breaks for c in table if c.after.match(text, e) and c.before.search(text, sentences._word_start(text, e, 0), e)), False) for table in (merged, single)]
         assert first[0] == first[1]
 
 
+@pytest.mark.parametrize("length", [5, 51, 296, 3000])
+def test_long_quotations_are_like_short_ones(length):  # noqa: ANN001, ANN201
+    said = "客" * length
+    assert cut(f"买主问道：“{said}。请看？”保存完好。", "zh") == [f"买主问道：“{said}。请看？”", "保存完好。"]
+    assert cut(f"「{said}。」と客が尋ねた。次。", "ja") == [f"「{said}。」と客が尋ねた。", "次。"]
+    assert cut(f"Es war am{' ' * length}12. März. Gut.") == [f"Es war am{' ' * length}12. März.", "Gut."]
+    assert cut(f"Ende{'!' * length}{' ' * length}Neu.") == [f"Ende{'!' * length}", "Neu."]
+
+
+def test_long_runs_take_linear_time():  # noqa: ANN201
+    for text in ("1.2" * 20_000, "「そう。」と" * 6_000, "a! " * 20_000, "เก่า " * 15_000, "” . " * 15_000):
+        began = time.perf_counter()
+        assert sentences.sentence_ends(text)
+        assert time.perf_counter() - began < 10
+
+
 def test_split_sentences_frame(spark):  # noqa: ANN001, ANN201
     df = spark.createDataFrame([(1, "A b. C d.", None, 5), (2, None, "de", 5), (3, "", "xx", 5), (1, "A b. C d.", None, 5)], "doc_id bigint, text string, lang string, sent_no int")
     rows = [tuple(r) for r in sentences.split_sentences(df).orderBy("doc_id", "sent_no").collect()]
@@ -140,6 +157,26 @@ def test_trie_finds_every_candidate():  # noqa: ANN201
         query = "".join(chance.choice("abcelmnrti1!h") for _ in range(chance.randint(1, 6)))
         expected = {w: c for w in words if (c := plain_cost(query, w, 2)) is not None}
         assert trie.within(query) == expected
+        # The shards that the query names find the same, and a word is in few of them.
+        shards: dict[str, list[str]] = {}
+        for word in words:
+            assert len(word_keys(word)) <= 4
+            for key in word_keys(word):
+                shards.setdefault(key, []).append(word)
+        parted: dict[str, int] = {}
+        for key in query_keys(query):
+            for _, word, cost, _ in within_shard(key, shards.get(key, []), [query]):
+                parted[word] = min(cost, parted.get(word, 9))
+        if len(query) > 1:
+            assert parted == {w: c for w, c in expected.items() if c}
+
+
+def test_neighbours_rank_general_edits(spark):  # noqa: ANN001, ANN201
+    """A letter misread beyond the known confusions is repaired where both neighbours speak for it, and only there."""
+    rows = [(i, f"c{i % 3}", None, "1 - X\n\nDavor die weite landschaft bei Abendlicht gemalt.") for i in range(40)]
+    rows += [(100, "c0", None, "1 - X\n\nDavor die weite landschxft bei Abendlicht gemalt."), (101, "c0", None, "1 - X\n\nManche enge landschxft vor Morgenrot gemalt.")]
+    df = spark.createDataFrame(rows, "chunk_id bigint, catalogue_id string, title string, text string")
+    assert {(r.chunk_id, r.noise, r.span) for r in scan_noise.scan_noise(df).collect()} == {(100, "misread", "landschaft")}
 
 
 def scans(spark):  # noqa: ANN001, ANN201
