@@ -5,7 +5,10 @@ say how much each candidate is favoured; a Viterbi walk over the words of a text
 between sentences, prohibitive inside one) labels every stretch.
 
 Learning needs no labels, which may be wrong: sentences that the function words below settle with a margin give the
-word counts of their language. All texts are counted.
+word counts of their language. All texts and all words are counted: words share a fixed number of cells by their hash,
+so the model has one size whatever the corpus and drops none.
+
+Texts are cut into sentences and words once, into a stored table; learning and labelling read that.
 """
 
 from __future__ import annotations
@@ -13,9 +16,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,9 +57,12 @@ SCRIPT_CANDIDATES = (
 LATIN = tuple(SEEDS)
 OTHERS = tuple(dict.fromkeys(lang for _, langs in SCRIPT_CANDIDATES for lang in langs))
 SWITCH, SWITCH_INSIDE = 4.0, 60.0
-#: A word enters the model from this share of all words on, so the model holds at most the inverse of it in words.
-MODEL_SHARE = 2e-6
+#: Cells that words share by their hash: the size of the model, 24 bytes each, which is what is sent to the workers.
+CELLS = 1 << 20
+#: Words that must have been counted in a cell before it says anything.
 MODEL_LEAST = 4
+#: Lowest score of a word against its best language.
+FLOOR = 5.0
 #: Least number of words (two letters or more) in a full sentence.
 SENTENCE_WORDS = 5
 
@@ -101,17 +108,23 @@ def _candidates(text: str) -> tuple[str, ...]:
     return LATIN
 
 
-@dataclass
+def cell(word: str) -> int:
+    return crc32(word.encode("utf-8", "replace")) % CELLS
+
+
 class Model:
     """Score of each word for each Latin-script language, centred so that an unknown word says nothing."""
 
-    scores: dict[str, tuple[float, ...]]
+    def __init__(self, scores: dict[str, tuple[float, ...]] | None = None, table: np.ndarray | None = None) -> None:
+        self.table = np.zeros((CELLS, len(LATIN)), np.float32) if table is None else table
+        for word, values in (scores or {}).items():
+            self.table[cell(word)] = values
 
     def of(self, word: str) -> dict[str, float] | None:
         langs = _candidates(word)
         if langs is LATIN:
-            found = self.scores.get(word)
-            return dict(zip(LATIN, found, strict=True)) if found else None
+            found = self.table[cell(word)].tolist()
+            return dict(zip(LATIN, found, strict=True)) if any(found) else None
         return dict.fromkeys(langs, 6.0 / len(langs))
 
 
@@ -131,62 +144,125 @@ for _lang, _words in SEEDS.items():
         _SEED_LANGS.setdefault(_word, []).append(_lang)
 
 
-def settled(words: list[str], scores: dict[str, tuple[float, ...]], margin: float = 3.0) -> str | None:
-    """Language of a sentence by the word scores, if it leads the next one by ``margin``."""
-    known = [scores[w] for w in words if w in scores]
-    if not known:
-        return None
-    sums = [sum(x) for x in zip(*known, strict=True)]
-    first, second = sorted(sums)[-1], sorted(sums)[-2]
-    return LATIN[sums.index(first)] if first - second >= margin else None
+def cut_texts(df: DataFrame, key: str, text: str, label: str | None, skip_first_line: bool) -> DataFrame:
+    """``(key, label, cells, lengths, seeds, words)``: each text's full sentences, stored.
+
+    ``cells`` are the cells of all words in order, ``lengths`` the number of words of each sentence, ``seeds`` the number
+    of the language its function words settle, or -1. ``words`` (sentences, words apart by blanks) is only there for
+    texts that are not all in Latin script. Null texts and texts without a sentence have no row.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    labels = F.lower(F.trim(F.col(label))) if label else F.lit(None).cast("string")
+    source = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text"), labels.alias("label")).where(F.col("text").isNotNull()))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = {lang: i for i, lang in enumerate(LATIN)}
+        for batch in batches:
+            rows = []
+            for k, body, code in zip(batch["key"], batch["text"], batch["label"], strict=True):
+                found = sentences_of(body, skip_first_line)
+                if found:
+                    whole = [" ".join(words) for words in found]
+                    latin = all(s.isascii() or max(s) < "Ͱ" for s in whole)
+                    seeds = [number.get(seeded(words), -1) for words in found]
+                    rows.append((k, code, [cell(w) for words in found for w in words], [len(words) for words in found], seeds, None if latin else whole))
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "label", "cells", "lengths", "seeds", "words"])
+
+    return materialize(source.mapInPandas(run, f"key {kind}, label string, cells array<int>, lengths array<int>, seeds array<int>, words array<string>"), "language-sentences")
+
+
+def _sums(table: np.ndarray, cells: pd.Series, lengths: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores summed by sentence over all texts of a batch, all cells, and all lengths (none is 0)."""
+    flat, sizes = np.concatenate(cells.to_numpy()), np.concatenate(lengths.to_numpy())
+    return np.add.reduceat(table[flat], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0), flat, sizes
 
 
 def learn(df: DataFrame, text: str = "text", skip_first_line: bool = True) -> Model:
     """Word scores from all texts, in two rounds of counting words by the language of their sentence.
 
     The first round takes the sentences that function words settle, the second those that the scores of the first
-    settle, so words of sentences without function words are learned too.
+    settle by a margin, so words of sentences without function words are learned too.
     """
-    source = spread(df.select(F.col(text).alias("text")).where(F.col("text").isNotNull()))
-    scores = _count(source, None, skip_first_line)
-    return Model(_count(source, scores, skip_first_line))
+    return learn_from(cut_texts(df.select(F.lit(0).alias("key"), F.col(text).alias("text")), "key", "text", None, skip_first_line))
+
 
+def learn_from(sentences: DataFrame) -> Model:
+    """``learn`` from a table of ``cut_texts``."""
+    return _count(sentences, _count(sentences, None))
 
-def _count(source: DataFrame, scores: dict[str, tuple[float, ...]] | None, skip_first_line: bool) -> dict[str, tuple[float, ...]]:
-    shared = source.sparkSession.sparkContext.broadcast(scores) if scores else None  # bounded by 1 / MODEL_SHARE words
+
+def _count(sentences: DataFrame, model: Model | None, margin: float = 3.0) -> Model:
+    shared = sentences.sparkSession.sparkContext.broadcast(model.table) if model else None  # CELLS rows, whatever the corpus
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value if shared else None
         for batch in batches:
-            counts: Counter[tuple[str, str]] = Counter()
-            for body in batch["text"]:
-                for words in sentences_of(body, skip_first_line):
-                    if lang := settled(words, known) if known else seeded(words):
-                        for w in words:
-                            counts[w, lang] += 1
-            if counts:
-                yield pd.DataFrame([(w, lang, n) for (w, lang), n in counts.items()], columns=["word", "lang", "n"])
-
-    counts = source.mapInPandas(count, "word string, lang string, n bigint").groupBy("word").pivot("lang", list(LATIN)).sum("n").na.fill(0)
-    counts = materialize(counts, "language-words")
-    totals = counts.agg(*[F.coalesce(F.sum(lang), F.lit(0)).alias(lang) for lang in LATIN]).first()
-    least = max(MODEL_LEAST, int(sum(totals) * MODEL_SHARE))
-    kept = counts.where(" + ".join(f"`{lang}`" for lang in LATIN) + f" >= {least}").toPandas()
-    found: dict[str, tuple[float, ...]] = {}
-    for row in kept.itertuples(index=False):
-        # Rates are taken per language, so a rare language is not drowned by common ones.
-        rates = [(n + 0.2) / (t + 200.0) for n, t in zip(row[1:], totals, strict=True)]
-        top = max(rates)
-        logs = [max(-5.0, math.log(r / top)) for r in rates]
-        mean = sum(logs) / len(logs)
-        found[row[0]] = tuple(x - mean for x in logs)
+            if not len(batch):
+                continue
+            flat, sizes = np.concatenate(batch["cells"].to_numpy()), np.concatenate(batch["lengths"].to_numpy())
+            langs = np.concatenate(batch["seeds"].to_numpy())
+            if shared:
+                sums, _, _ = _sums(shared.value, batch["cells"], batch["lengths"])
+                ranked = np.sort(sums, axis=1)
+                langs = np.where(ranked[:, -1] - ranked[:, -2] >= margin, sums.argmax(axis=1), -1)
+            by_word = np.repeat(langs, sizes)
+            codes, n = np.unique(flat[by_word >= 0].astype(np.int64) * len(LATIN) + by_word[by_word >= 0], return_counts=True)
+            yield pd.DataFrame({"cell": codes // len(LATIN), "lang": codes % len(LATIN), "n": n})
+
+    counts = sentences.select("cells", "lengths", "seeds").mapInPandas(count, "cell bigint, lang bigint, n bigint").groupBy("cell", "lang").agg(F.sum("n").alias("n"))
+    rows = counts.toPandas()  # at most CELLS times the number of languages
+    seen = np.zeros((CELLS, len(LATIN)))
+    seen[rows["cell"].to_numpy(int), rows["lang"].to_numpy(int)] = rows["n"].to_numpy(float)
+    # Rates are taken per language, so a rare language is not drowned by common ones.
+    rates = (seen + 0.2) / (seen.sum(axis=0) + 200.0)
+    logs = np.maximum(-FLOOR, np.log(rates / rates.max(axis=1, keepdims=True)))
+    logs -= logs.mean(axis=1, keepdims=True)
+    logs[seen.sum(axis=1) < MODEL_LEAST] = 0.0
     for word, langs in _SEED_LANGS.items():
-        found.setdefault(word, tuple(1.5 if lang in langs else -0.5 for lang in LATIN))
-    return found
+        if not logs[cell(word)].any():
+            logs[cell(word)] = [1.5 if lang in langs else -0.5 for lang in LATIN]
+    return Model(table=logs.astype(np.float32))
+
 
+def _may_switch_inside(scores: np.ndarray) -> bool:
+    """Whether a path could gain by changing language inside a Latin sentence of these word scores.
 
-def viterbi(sentences: list[list[str]], model: Model) -> list[tuple[str | None, float]]:
-    """Language and confidence of each sentence. None where no word of the text says anything.
+    It would have to lead by more than the two penalties' difference in front and by more than a switch behind.
+    """
+    if len(scores) < (2 * SWITCH_INSIDE - SWITCH) / FLOOR:
+        return False
+    front = np.cumsum(scores, axis=0)
+    leads = front[:, :, None] - front[:, None, :]
+    total = front[-1][:, None] - front[-1][None, :]
+    return bool(((leads > SWITCH_INSIDE - SWITCH) & (leads - total > SWITCH_INSIDE)).any())
+
+
+def latin_path(sums: list[list[float]]) -> list[int]:
+    """Best languages of the sentences of a text in Latin script that changes language between sentences only."""
+    best = [0.0] * len(LATIN)
+    back = []
+    for own in sums:
+        top = max(range(len(best)), key=best.__getitem__)
+        from_top = best[top] - SWITCH
+        back.append([top if from_top > value else i for i, value in enumerate(best)])
+        best = [max(value, from_top) + gain for value, gain in zip(best, own, strict=True)]
+    state = max(range(len(best)), key=best.__getitem__)
+    path = []
+    for step in reversed(back):
+        path.append(state)
+        state = step[state]
+    return path[::-1]
+
+
+def _confidence(sums: list[float], lang: int, n: int, known: int) -> float:
+    """Posterior of a Latin-script language for a sentence of ``n`` words, ``known`` of them known, as in ``viterbi``."""
+    heat, top = math.sqrt(n), max(sums)
+    weights = sum(math.exp((v - top) / heat) for v in sums) + len(OTHERS) * math.exp((-FLOOR * known - top) / heat)
+    return math.exp((sums[lang] - top) / heat) / weights
+
+
+def viterbi(sentences: list[list], model: Model) -> list[tuple[str | None, float]]:
+    """Language and confidence of each sentence of words (or their scores). None where no word says anything.
 
     The best path over all words pays ``SWITCH`` to change language at the start of a sentence and ``SWITCH_INSIDE``
     elsewhere. Confidence is the posterior of the language of the sentence against the others, tempered by its length.
@@ -200,13 +276,13 @@ def viterbi(sentences: list[list[str]], model: Model) -> list[tuple[str | None,
         starts.append(len(back))
         own = dict.fromkeys(langs, 0.0)
         for j, word in enumerate(words):
-            found = model.of(word)
+            found = model.of(word) if isinstance(word, str) else word
             penalty = SWITCH if j == 0 else SWITCH_INSIDE
             top = max(best, key=best.__getitem__)
             from_top = best[top] - penalty
             step = {}
             new = {}
-            low = -5.0 if found else 0.0
+            low = -FLOOR if found else 0.0
             for lang, value in best.items():
                 gain = found.get(lang, low) if found else 0.0
                 own[lang] += gain
@@ -243,19 +319,29 @@ def language_spans(df: DataFrame, model: Model | None = None, text: str = "text"
     ``n_langs`` counts the languages of the text. Null and empty texts and texts without a full sentence give no row;
     a null label is allowed; extra columns are not read. With ``model`` None the scores are learned from ``df``.
     """
-    model = model or learn(df, text, skip_first_line)
     kind = df.schema[key].dataType.simpleString()
-    labels = F.lower(F.trim(F.col(label))) if label else F.lit(None).cast("string")
-    source = spread(df.select(F.col(key).alias("key"), F.col(text).alias("text"), labels.alias("label")).where(F.col("text").isNotNull()))
-    shared = df.sparkSession.sparkContext.broadcast(model.scores)  # bounded by 1 / MODEL_SHARE words
+    sentences = cut_texts(df, key, text, label, skip_first_line)
+    model = model or learn_from(sentences)
+    shared = df.sparkSession.sparkContext.broadcast(model.table)  # CELLS rows, whatever the corpus
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Model(shared.value)
+        known = Model(table=shared.value)
         for batch in batches:
             rows = []
-            for k, body, code in zip(batch["key"], batch["text"], batch["label"], strict=True):
+            if len(batch):
+                sums, flat, sizes = _sums(known.table, batch["cells"], batch["lengths"])
+                scores = known.table[flat]
+                told = np.add.reduceat(scores.any(axis=1).astype(int), np.concatenate(([0], np.cumsum(sizes)[:-1]))).tolist()
+                sums, ends, at = sums.astype(float).tolist(), np.cumsum(sizes).tolist(), 0
+            for k, code, lengths, words in zip(batch["key"], batch["label"], batch["lengths"], batch["words"], strict=True):
+                first, at = at, at + len(lengths)
+                if words is None and not any(_may_switch_inside(scores[ends[i] - sizes[i] : ends[i]]) for i in range(first, at)):
+                    path = latin_path(sums[first:at])
+                    labelled = [(LATIN[x], _confidence(sums[i], x, int(sizes[i]), told[i])) if told[i] else (None, 0.0) for i, x in enumerate(path, first)]
+                else:
+                    labelled = viterbi([w.split(" ") for w in words] if words is not None else _as_words(scores, ends[first:at], lengths), known)
                 runs: list[list] = []
-                for lang, confidence in viterbi(sentences_of(body, skip_first_line), known):
+                for lang, confidence in labelled:
                     if lang is None:
                         continue
                     if runs and runs[-1][0] == lang:
@@ -269,7 +355,12 @@ def language_spans(df: DataFrame, model: Model | None = None, text: str = "text"
                 yield pd.DataFrame(rows, columns=["key", "seg_no", "lang", "confidence", "n_sentences", "label_lang", "n_langs"])
 
     schema = f"key {kind}, seg_no int, lang string, confidence double, n_sentences int, label_lang string, n_langs int"
-    return source.mapInPandas(run, schema).withColumnRenamed("key", key)
+    return sentences.select("key", "label", "cells", "lengths", "words").mapInPandas(run, schema).withColumnRenamed("key", key)
+
+
+def _as_words(scores: np.ndarray, ends: list[int], lengths: Iterable[int]) -> list[list[dict[str, float] | None]]:
+    """Scores of each word of each sentence, as ``viterbi`` also takes them."""
+    return [[dict(zip(LATIN, x, strict=True)) if any(x) else None for x in scores[end - n : end].tolist()] for end, n in zip(ends, lengths, strict=True)]
 
 
 def mislabelled(spans: DataFrame) -> DataFrame:

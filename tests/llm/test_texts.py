@@ -251,12 +251,51 @@ def test_viterbi_is_best_path():  # noqa: ANN201
         got = [lang for lang, _ in languages.viterbi(text, model)]
 
         def score(path):  # noqa: ANN001, ANN202
-            total = sum(model.scores[w][langs.index(lang)] for words, lang in zip(text, path, strict=True) for w in words)  # noqa: B023
+            total = sum(model.of(w)[lang] for words, lang in zip(text, path, strict=True) for w in words)  # noqa: B023
             return total - languages.SWITCH * sum(a != b for a, b in itertools.pairwise(path))
 
         assert score(got) == pytest.approx(max(score(p) for p in itertools.product(langs, repeat=3)))
 
 
+def test_paths_by_sentence_and_by_word_agree():  # noqa: ANN201
+    """Where no switch inside a sentence can pay, the quick walk over sentences gives the walk over words."""
+    chance = random.Random(7)
+    slow = 0
+    for _ in range(200):
+        scores = {w: tuple(chance.uniform(-3, 2) for _ in languages.LATIN) for w in "abcdefgh"}
+        model = languages.Model(scores)
+        text = [[chance.choice("abcd" if chance.random() < 0.5 else "efgh") for _ in range(chance.choice((2, 5, 40)))] for _ in range(4)]
+        rows = [languages.np.array([model.table[languages.cell(w)] for w in words]) for words in text]
+        if any(languages._may_switch_inside(x) for x in rows):
+            slow += 1
+            continue
+        sums = [x.sum(axis=0, dtype=float).tolist() for x in rows]
+        path = languages.latin_path(sums)
+        expected = languages.viterbi(text, model)
+        assert [languages.LATIN[i] for i in path] == [lang for lang, _ in expected]
+        assert [languages._confidence(s, i, len(w), len(w)) for s, i, w in zip(sums, path, text, strict=True)] == pytest.approx([c for _, c in expected], abs=1e-4)
+    assert slow < 150
+
+
+def test_confidence_tells_how_often_a_sentence_is_right():  # noqa: ANN201
+    """Words drawn from two languages that overlap: the share of right sentences grows with the confidence."""
+    chance = random.Random(11)
+    words = [f"w{i}" for i in range(40)]
+    fr, de = ([1.0 / (1 + abs(i - m)) for i in range(40)] for m in (12, 28))
+    scores = {}
+    for i, w in enumerate(words):
+        logs = [languages.math.log(fr[i]), languages.math.log(de[i]), *[languages.math.log(0.01)] * 4]
+        scores[w] = tuple(max(-5.0, x - max(logs)) for x in logs)
+    model = languages.Model({w: tuple(x - sum(v) / 6 for x in v) for w, v in scores.items()})
+    bands: dict[bool, list[bool]] = {True: [], False: []}
+    for _ in range(600):
+        lang, weights = chance.choice((("fr", fr), ("de", de)))
+        [(got, confidence)] = languages.viterbi([chance.choices(words, weights, k=5)], model)
+        bands[confidence >= 0.7].append(got == lang)
+    high, low = (sum(x) / len(x) for x in (bands[True], bands[False]))
+    assert len(bands[True]) > 50 < len(bands[False]) and high > 0.9 and high > low + 0.05
+
+
 def test_scripts_narrow_candidates():  # noqa: ANN201
     model = languages.Model({})
     assert [x for x, _ in languages.viterbi([["высота"], ["高", "さ"], ["สูง"]], model)][::2] == ["ru", "th"]
