@@ -95,11 +95,6 @@ def parts(x: str, dialect: str = "spark") -> str:
     return f"list_transform(string_split({x}, ';'), lambda p: {strip('p', dialect)})"
 
 
-def first_line(x: str, most: int = 120, dialect: str = "spark") -> str:
-    cut = f"substring_index({x}, '\\n', 1)" if dialect == "spark" else f"split_part({x}, chr(10), 1)"
-    return f"substring({cut}, 1, {most})"
-
-
 def is_digits(x: str, dialect: str = "spark") -> str:
     return matches(x, r"\A\p{Nd}+\z", dialect)
 
@@ -139,5 +134,8 @@ def column(expression: str) -> Column:
 
 
 def url_quoted(x: Column) -> Column:
-    """Percent-encoded as in a path, blanks as ``%20``."""
-    return F.replace(F.url_encode(x), F.lit("+"), F.lit("%20"))
+    """Percent-encoded but for letters, digits and ``_.-~``; blanks as ``%20``."""
+    quoted = F.url_encode(x)
+    for shown, meant in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        quoted = F.replace(quoted, F.lit(shown), F.lit(meant))
+    return quoted

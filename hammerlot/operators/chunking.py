@@ -13,6 +13,7 @@ from hammerlot.functions import text as T
 from hammerlot.operators import ordered
 
 MATCH, FIELD = "\x01", "\x02"
+# The line patterns that results depend on, and the one for lots inside lots.
 DASHES = r"[.\-—–]*"
 #: A lot number, where a scan may show 1 as I, the signs behind it, and the rest of the line.
 NUMBER_AND_TITLE = rf"(I{{1,3}}\p{{Nd}}*|[1-9]\p{{Nd}}*){DASHES}{T.SPACE}*(.+)"

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hammerlot.functions import text as T
-from hammerlot.operators.ordered import running_sum
+from hammerlot.operators.chunking import inconsistencies
 from hammerlot.operators.quality import flag_needs_revision
 
 
 def view_catalogue(flagged: DataFrame, catalogue_id: str, key: str = "catalogue_id") -> DataFrame:
-    """Rows of one catalogue with ``anchor_id``; no rows for an unknown one. The filter reaches the scan."""
+    """Rows of one catalogue with ``anchor_id``; no rows for an unknown one. Give it a frame made of that catalogue only
+    (the repairs work catalogue by catalogue), and no other is read or repaired."""
     return flagged.where(F.col(key) == catalogue_id).withColumn("anchor_id", F.concat(F.lit("chunk-"), F.col("idx").cast("string")))
 
 
+def form_rows(spark: SparkSession, num: list[str], title: list[str], text: list[str]) -> DataFrame:
+    """``(pos, num, title, text)`` of a form's repeated fields, put together by place and cut to the shortest list."""
+    rows = [(i, *fields) for i, fields in enumerate(zip(num, title, text, strict=False), 1)]
+    return spark.createDataFrame(rows, "pos int, num string, title string, text string")
+
+
 def save_catalogue(lots: DataFrame, edited: DataFrame, catalogue_id: str, key: str = "catalogue_id") -> DataFrame:
-    """``lots`` with the rows of one catalogue replaced by ``edited(pos, num, title, text)``.
+    """``lots`` with the rows of one catalogue replaced by ``edited(pos, num, title, text)``, and all flags computed anew.
 
-    Edited rows are numbered from 1 in the order of ``pos``, their fields stripped. An empty edit removes the catalogue.
-    Rows of a null catalogue stay. Columns that the edit lacks are null in its rows.
+    Edited rows are numbered from 1 in the order of ``pos``, then of number, title and text; null positions come last,
+    so no row is lost or repeated. Their fields are stripped. An empty edit removes the catalogue. Rows of a null
+    catalogue stay. Columns that the edit lacks are null in its rows. Flags compare with the inconsistencies of the new
+    state. An edit is one form, so it is numbered in one task.
     """
-    kept = lots.where(~F.col(key).eqNullSafe(F.lit(catalogue_id)))
+    kept = lots.drop("needs_revision").where(~F.col(key).eqNullSafe(F.lit(catalogue_id)))
     rows = edited.select(F.lit(catalogue_id).alias(key), "pos", *[F.expr(T.strip(c)).alias(c) for c in ("num", "title", "text")])
-    places = running_sum(rows.select(key, "pos"), key, ["pos"], F.lit(1), "idx")
-    new = rows.join(places.select("pos", "idx"), "pos").select(key, "idx", "num", "title", "text")
-    return kept.unionByName(new, allowMissingColumns=True)
+    place = F.row_number().over(W.partitionBy(key).orderBy(F.asc_nulls_last("pos"), "num", "title", "text"))
+    new = rows.select(key, place.cast("int").alias("idx"), "num", "title", "text")
+    saved = kept.unionByName(new, allowMissingColumns=True)
+    return flag_needs_revision(saved, inconsistencies(saved, key), key)
 
 
 def update_chunk(lots: DataFrame, found: DataFrame, catalogue_id: str, idx: int, title: str, text: str, key: str = "catalogue_id") -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import re
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +31,15 @@ def folder_pages(pages: DataFrame, filename: str = "filename") -> DataFrame:
     return named.where("folder_id is not null")
 
 
-def folder_index(pages: DataFrame, filename: str = "filename") -> DataFrame:
-    """``(folder_id, n_pages, filenames)``: the pages of each folder in file-name order, repeated names kept."""
-    grouped = folder_pages(pages, filename).groupBy("folder_id").agg(F.array_sort(F.collect_list("filename")).alias("filenames"))
+def folder_index(pages: DataFrame, filename: str = "filename", order: str | None = None) -> DataFrame:
+    """``(folder_id, n_pages, filenames)``: the pages of each folder in file-name order or in that of the column
+    ``order``, repeated names kept. A page list has no order of its own; one that shall keep its lines' order has a
+    column for it."""
+    if order is None:
+        grouped = folder_pages(pages, filename).groupBy("folder_id").agg(F.array_sort(F.collect_list("filename")).alias("filenames"))
+    else:
+        named = pages.select(F.expr(T.folder_id(filename)).alias("folder_id"), F.col(order).alias("o"), F.col(filename).alias("f")).where("folder_id is not null")
+        grouped = named.groupBy("folder_id").agg(F.array_sort(F.collect_list(F.struct("o", "f"))).alias("p")).select("folder_id", F.col("p.f").alias("filenames"))
     return grouped.select("folder_id", F.size("filenames").cast("bigint").alias("n_pages"), "filenames")
 
 
@@ -44,6 +54,12 @@ def pending_pages(files: DataFrame, done: DataFrame, on: str = "page") -> DataFr
     return files.join(done.select(on).distinct(), on, "left_anti")
 
 
+def missing_documents(listed: DataFrame, documents: DataFrame, key: str = "catalogue_id") -> DataFrame:
+    """``(key, error)``: listed catalogues without a text, the dead letters of reading. Null keys are none."""
+    gone = listed.where(F.col(key).isNotNull()).select(key).distinct().join(documents.select(key).distinct(), key, "left_anti")
+    return gone.withColumn("error", F.lit("no text"))
+
+
 def page_name(x: str) -> str:
     """SQL: name of a page without folder and extension."""
     return f"regexp_replace(substring_index({x}, '/', -1), '\\\\.[^.]*$', '')"
@@ -97,6 +113,72 @@ def echo_transcriber() -> Callable[[str, bytes | None], str]:
     return lambda name, _: f"## 1 - {name}" if name else ""
 
 
-def grey(pixels: list[tuple[int, int, int]]) -> list[int]:
-    """Luminance of RGB pixels by the weights 299, 587 and 114 per thousand, rounded down after adding a half."""
-    return [(r * 19595 + g * 38470 + b * 7471 + 0x8000) >> 16 for r, g, b in pixels]
+def grey(pixels: np.ndarray) -> np.ndarray:
+    """Luminance of RGB pixels (last axis) by the weights 299, 587 and 114 per thousand, rounded down after adding a half."""
+    return ((pixels.astype(np.int64) @ np.array([19595, 38470, 7471]) + 0x8000) >> 16).astype(np.uint8)
+
+
+def grey_image(content: bytes) -> bytes:
+    """A colour image in grey: portable pixmaps (P6) by ``grey``, other formats where an imaging library is installed.
+
+    Anything else raises ``ValueError``.
+    """
+    header = re.match(rb"P6\s(?:#[^\n]*\n)?\s*(\d+)\s+(\d+)\s+(\d+)\s", content)
+    if header:
+        width, height, most = map(int, header.groups())
+        body = content[header.end() :]
+        if most > 255 or len(body) != 3 * width * height:
+            raise ValueError("pixmap cut short or of more than 8 bits")
+        return b"P5 %d %d %d\n" % (width, height, most) + grey(np.frombuffer(body, np.uint8).reshape(-1, 3)).tobytes()
+    try:
+        from PIL import Image
+    except ImportError:
+        raise ValueError("no library to decode this image") from None
+    out = io.BytesIO()
+    Image.open(io.BytesIO(content)).convert("L").save(out, "PNG")
+    return out.getvalue()
+
+
+def run_pages(
+    images: DataFrame, folder: str, transcriber: Callable[[], Callable[[str, bytes | None], str]], finished: DataFrame | None = None
+) -> DataFrame:
+    """Transcribe the pages of ``images(folder, filename, content)`` that have no text yet; ``(folder, filename, error)`` of each.
+
+    The grey image goes to ``<folder>/<catalogue>/grey/<page>``, the text to ``<folder>/<catalogue>/md/<page>.md``, each
+    written under another name first, so a lost task leaves no half file and may run again. ``finished(folder, page)``
+    are the pages done before. An image that cannot be read or an empty text gives an error and no text.
+    ``folder`` is storage that all executors share. Nothing is written until the result is read.
+    """
+    name = F.expr(page_name("filename"))
+    todo = images.select("folder", "filename", "content", name.alias("page"))
+    if finished is not None:
+        todo = todo.join(finished.select("folder", "page").distinct(), ["folder", "page"], "left_anti")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        read = transcriber()
+
+        def put(path: str, data: bytes) -> None:
+            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            part = f"{path}.part-{uuid.uuid4().hex}"
+            with store.open_output_stream(part) as out:
+                out.write(data)
+            store.move(part, path)
+
+        for batch in batches:
+            errors = []
+            for where, filename, page, content in zip(batch["folder"], batch["filename"], batch["page"], batch["content"], strict=True):
+                try:
+                    image = grey_image(bytes(content))
+                    put(f"{root}/{where}/grey/{filename}", image)
+                    text = read(filename, image)
+                    if text:
+                        put(f"{root}/{where}/md/{page}.md", text.encode())
+                    errors.append(None if text else "empty transcription")
+                except Exception as e:
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pd.DataFrame({"folder": batch["folder"], "filename": batch["filename"], "error": errors})
+
+    return todo.mapInPandas(run, "folder string, filename string, error string")

@@ -18,13 +18,16 @@ def cleaned(x: Column | str) -> Column:
 def flag_needs_revision(lots: DataFrame, found: DataFrame, key: str = "catalogue_id") -> DataFrame:
     """``lots`` with ``needs_revision``: whether an inconsistency names the lot's catalogue, number and text.
 
-    The number is compared as it is written, so ``I3`` never equals 3. Keys are compared column by column; the side of
-    inconsistencies is reduced to its distinct keys, so no lot is repeated. Columns of ``lots`` are kept as they are.
+    The number is compared as it is written, so ``I3`` never equals 3. The three parts are compared by one digest of all,
+    so no text is shuffled for the comparison, and the inconsistencies are few and short enough to be sent to the lots;
+    they are reduced to distinct ones, so no lot is repeated. Columns of ``lots`` are kept as they are.
     """
-    marks = found.select(cleaned(key).alias("__k"), cleaned("current_num").alias("__n"), cleaned("excerpt").alias("__x")).distinct()
-    same = (cleaned(lots[key]) == marks["__k"]) & (cleaned(lots["num"]) == marks["__n"]) & (cleaned(lots["text"]) == marks["__x"])
-    joined = lots.join(marks.withColumn("__hit", F.lit(True)), same, "left")
-    return joined.withColumn("needs_revision", F.col("__hit").isNotNull()).drop("__k", "__n", "__x", "__hit")
+    parts = found.select(cleaned(key).alias("__k"), cleaned("current_num").alias("__n"), cleaned("excerpt").alias("__x"))
+    # Only hashes of texts are joined; a digest of 128 bits stands for the text.
+    marks = parts.select(F.md5(F.to_json(F.struct("__k", "__n", "__x"))).alias("__mark")).distinct().withColumn("__hit", F.lit(True))
+    own = F.struct(cleaned(lots[key]).alias("__k"), cleaned(lots["num"]).alias("__n"), cleaned(lots["text"]).alias("__x"))
+    joined = lots.withColumn("__mark", F.md5(F.to_json(own))).join(marks, "__mark", "left")
+    return joined.withColumn("needs_revision", F.col("__hit").isNotNull()).drop("__mark", "__hit")
 
 
 def catalogue_stats(flagged: DataFrame, key: str = "catalogue_id") -> DataFrame:

@@ -8,10 +8,48 @@ from __future__ import annotations
 
 from hammerlot.functions import text as T
 from hammerlot.functions import vocabularies as V
-from hammerlot.operators import chunking, pages, triples
+from hammerlot.operators import chunking, language_guess, pages, triples
 from hammerlot.queries import EDITED
 
 D = "duckdb"
+# Definitions of their own, not shared with the operators.
+_EDGES = "^[\\s\\x0B\\x1C-\\x1F\\x{85}\\p{Z}]+|[\\s\\x0B\\x1C-\\x1F\\x{85}\\p{Z}]+$"
+
+
+def own_strip(x: str) -> str:
+    return f"regexp_replace({x}, '{_EDGES}', '', 'g')"
+
+
+def own_slug(x: str) -> str:
+    folded = f"replace({own_strip(x)}, ' ', '_')"
+    for plain, shown in (("a", "[àÀ]"), ("e", "[èéÈÉ]"), ("i", "[ìÌ]"), ("o", "[òÒ]"), ("u", "[ùÙ]"), ("_", "[/\\\\]"), ("and", "&"), ("", "[^\\p{L}\\p{N}_-]")):
+        folded = f"regexp_replace({folded}, '{shown}', '{plain}', 'g')"
+    return f"lower({folded})"
+
+
+def own_name(x: str) -> str:
+    s = own_strip(x)
+    return f"CASE WHEN strpos({s}, '<') > 1 THEN {own_strip(f"string_split({s}, '<')[1]")} ELSE {s} END"
+
+
+def own_place(x: str) -> str:
+    s = own_strip(x)
+    inner = f"regexp_extract({s}, '^[^<]+<([^>]+)>', 1)"
+    return f"nullif({own_strip(inner)}, '')"
+
+
+def own_day(x: str, sign: str) -> str:
+    return f"array_to_string([{x}[1:4], {x}[5:6], {x}[7:8]], '{sign}')"
+
+
+def own_dates(a: str, b: str) -> tuple[str, str, str]:
+    """Label, begin and end."""
+    digits = "regexp_full_match({}, '[0-9]+')"
+    head = f"CASE WHEN {digits.format(a)} THEN {own_day(a, '/')} ELSE coalesce({own_strip(a)}, '') END"
+    tail = f"CASE WHEN {b} IS NULL THEN '' WHEN {digits.format(b)} THEN concat(' - ', {own_day(b, '/')}) WHEN contains({b}, 'idem') THEN '' ELSE concat(' - ', {own_strip(b)}) END"
+    begin = f"CASE WHEN {digits.format(a)} THEN {own_day(a, '-')} END"
+    end = f"CASE WHEN {digits.format(b)} THEN {own_day(b, '-')} WHEN contains({b}, 'idem') THEN {begin} END"
+    return f"concat({head}, {tail})", begin, end
 _CLEAN = "translate({}, chr(1) || chr(2), '')"
 _INNER = chunking.INNER_LOT.replace("(?=[A-ZÀ-ÖØ-öø-ÿ])", "([A-ZÀ-ÖØ-öø-ÿ])")
 
@@ -133,10 +171,11 @@ def _graph(catalogues: bool = True, auctions: bool = True) -> str:
 def _oracles() -> dict[str, str]:
     out = {}
     for name, pattern in chunking.PATTERNS.items():
-        source = f"WITH src AS (SELECT chunk_id, {_CLEAN.format('text')} AS body, '{name}' AS pattern FROM chunks WHERE text IS NOT NULL),"
+        body = "'| ' || regexp_replace(text, '^(?:#+|-)\\s*', '')" if name == "pipe_prefix" else "text"
+        source = f"WITH src AS (SELECT chunk_id, {_CLEAN.format(body)} AS body, '{name}' AS pattern FROM chunks WHERE text IS NOT NULL),"
         out[f"chunk_{name}"] = f"SELECT * EXCLUDE (pattern) FROM ({source}{_chunks('src', 'chunk_id', _quoted('(?m)' + pattern))})"
     out["chunk_best_pattern"] = f"WITH src AS (SELECT doc_id, {_CLEAN.format('text')} AS body FROM documents WHERE text IS NOT NULL),{_best('src', 'doc_id')}"
-    out["chunk_catalogue_texts"] = f"""SELECT catalogue_id, pattern, idx, num, title, length(text) AS n_chars FROM (
+    out["chunk_catalogue_texts"] = f"""SELECT catalogue_id, pattern, idx, num, title, md5(text) AS digest FROM (
 WITH {_PAGE_TEXTS}, src AS (SELECT catalogue_id, {_CLEAN.format('text')} AS body FROM documents_of),{_best('src', 'catalogue_id')})"""
     out["gap_split"] = f"WITH {_SPLIT} SELECT * FROM split_lots"
     out["merge_sandwiched"] = f"WITH {_MERGED} SELECT * FROM merged"
@@ -149,24 +188,28 @@ WITH {_PAGE_TEXTS}, src AS (SELECT catalogue_id, {_CLEAN.format('text')} AS body
 round_even(count(*) FILTER (WHERE needs_revision) / count(*) * 100, 1) AS percent_issues FROM flagged WHERE catalogue_id IS NOT NULL GROUP BY catalogue_id"""
     out["view_catalogue"] = f"{flagged} SELECT *, 'chunk-' || idx AS anchor_id FROM flagged WHERE catalogue_id = '{EDITED}'"
     out["update_chunk"] = f"""{report}, edited AS (SELECT catalogue_id, idx, num, CASE WHEN {_HERE} THEN 'A new title' ELSE title END AS title, CASE WHEN {_HERE} THEN 'A new text' ELSE text END AS text FROM merged), {_flags('edited')} SELECT * FROM flagged"""
-    out["save_catalogue"] = f"""WITH {_MERGED} SELECT catalogue_id, idx, num, title, text FROM merged WHERE catalogue_id IS DISTINCT FROM '{EDITED}'
-UNION ALL SELECT catalogue_id, CAST(row_number() OVER (ORDER BY idx) AS INTEGER), {T.strip("num", D)}, {T.strip("upper(title)", D)}, {T.strip("text", D)} FROM merged WHERE catalogue_id = '{EDITED}'"""
+    saved = f"""new_rows AS (SELECT catalogue_id, CAST(row_number() OVER (ORDER BY pos NULLS LAST, num NULLS FIRST, title NULLS FIRST, text NULLS FIRST) AS INTEGER) AS idx, num, title, text FROM (
+  SELECT catalogue_id, CASE WHEN idx % 5 <> 0 THEN idx // 2 END AS pos, {T.strip("num", D)} AS num, {T.strip("upper(title)", D)} AS title, {T.strip("text", D)} AS text FROM merged WHERE catalogue_id = '{EDITED}') n),
+saved AS (SELECT catalogue_id, idx, num, title, text FROM merged WHERE catalogue_id IS DISTINCT FROM '{EDITED}' UNION ALL SELECT * FROM new_rows)"""
+    out["save_catalogue"] = f"WITH {_MERGED}, {saved}, {_REPORT.replace('FROM merged', 'FROM saved')}, {_flags('saved')} SELECT * FROM flagged"
+    out["pipeline_report"] = f"WITH {_SPLIT}, {_merge('split_lots', 'idx')}, {_REPORT} SELECT * FROM report"
     out["resolve_inconsistency"] = f"{report} SELECT * FROM report WHERE NOT coalesce(catalogue_id = '{EDITED}' AND CAST(prev_num AS VARCHAR) = '1', false)"
     out["concat_pages"] = f"WITH {_PAGE_TEXTS} SELECT catalogue_id, n_pages, length(text) AS n_chars, md5(text) AS digest FROM documents_of"
     out["folder_index"] = f"WITH {_FOLDERED} SELECT folder_id, count(*) AS n_pages, string_agg(filename, ';' ORDER BY filename) AS filenames FROM foldered GROUP BY folder_id"
     out["select_pages"] = f"WITH {_FILES}, {_FOLDERED} SELECT filename, folder FROM files WHERE filename IN (SELECT filename FROM foldered)"
     out["select_pages_of_folders"] = f"WITH {_FILES}, {_FOLDERED} SELECT filename, folder FROM files WHERE filename IN (SELECT filename FROM foldered) AND folder IN ('{EDITED}', 'BX0101_0000001')"
     out["pending_pages"] = f"WITH {_FILES} SELECT filename, folder FROM files f WHERE NOT EXISTS (SELECT 1 FROM pages_list p WHERE p.filename = f.filename)"
-    out["slugify"] = f"SELECT agent_id, {T.slug('label', D)} AS slug FROM reconciled_agents"
-    out["name_place"] = f"""SELECT agent, {T.name_part('agent', D)} AS name, {T.place_part('agent', D)} AS place FROM (
+    out["slugify"] = f"SELECT agent_id, {own_slug('label')} AS slug FROM reconciled_agents"
+    out["name_place"] = f"""SELECT agent, {own_name('agent')} AS name, {own_place('agent')} AS place FROM (
 SELECT autori_principali AS agent FROM catalogues UNION SELECT ente_autore_principale FROM catalogues UNION SELECT ente_autore_secondario FROM catalogues UNION SELECT autori_secondari FROM catalogues) x WHERE agent IS NOT NULL"""
     out["role_extract"] = f"SELECT DISTINCT {T.bracketed('item', D)} AS role FROM {_items('banditore')} x WHERE {T.bracketed('item', D)} IS NOT NULL"
     out["multi_value_distinct"] = f"SELECT DISTINCT item FROM {_items('tipi_oggetti')} x"
     out["column_unique"] = "SELECT DISTINCT cronologia FROM auctions WHERE cronologia IS NOT NULL"
     out["number_parsers"] = f"SELECT chunk_id, {T.digits_int('num', D)} AS digits_int, {T.strict_int('num', D)} AS strict_int FROM chunks"
     a, b = "data_inizio_asta", "data_fine_asta"
-    label = T.date_label(a, b, D)
-    out["date_normalise"] = f"SELECT DISTINCT inventario, {a}, {b}, {label} AS label, {T.span_slug(label, D)} AS span, {T.date_begin(a, D)} AS begin_date, {T.date_end(a, b, D)} AS end_date FROM auctions"
+    label, begin, end = own_dates(a, b)
+    span = own_slug(f"replace({own_strip('label')}, ' - ', '-')")
+    out["date_normalise"] = f"SELECT *, {span} AS span, try_strptime(begin_date, '%Y-%m-%d') IS NOT NULL AS begin_valid FROM (SELECT DISTINCT inventario, {a}, {b}, {label} AS label, {begin} AS begin_date, {end} AS end_date FROM auctions) x"
     langs = V.values_sql(V.LANGUAGES)
     out["lookup_required"] = f"SELECT lingue, code, count(*) AS n FROM catalogues JOIN {langs} l(label, code) ON lingue = label GROUP BY lingue, code"
     out["lookup_unmatched"] = f"SELECT nome_cartella, lingue, data_pubblicazione FROM catalogues LEFT JOIN {langs} l(label, code) ON lingue = label WHERE label IS NULL OR try_cast({T.strip('data_pubblicazione', D)} AS DOUBLE) IS NULL"
@@ -188,6 +231,20 @@ SELECT id, title, span_label FROM l FULL OUTER JOIN r USING (id)"""
   UNION ALL SELECT {T.slug('alias', D)}, 1, wikidata_id, wikidata_label FROM (SELECT wikidata_id, wikidata_label, unnest(string_split(aliases, ';')) AS alias FROM authority WHERE aliases IS NOT NULL) x),
 best AS (SELECT * FROM names WHERE name <> '' QUALIFY row_number() OVER (PARTITION BY name ORDER BY rank, wikidata_id, wikidata_label) = 1)
 SELECT agent_id, label, b.wikidata_id, b.wikidata_label, CASE rank WHEN 0 THEN 'label' WHEN 1 THEN 'alias' END AS match_type FROM reconciled_agents a LEFT JOIN best b ON {T.slug('a.label', D)} = b.name"""
+    out["preview_agents"] = "SELECT agent_id, uri, label FROM reconciled_agents ORDER BY agent_id LIMIT 5"
+    out["missing_documents"] = f"""SELECT DISTINCT catalogue_id, 'no text' AS error FROM (SELECT unnest(list_transform(string_split(nome_cartella, ';'), lambda x: {own_strip('x')})) AS catalogue_id FROM catalogues WHERE nome_cartella IS NOT NULL) x
+WHERE catalogue_id NOT IN (SELECT catalogue_id FROM documents WHERE catalogue_id IS NOT NULL)"""
+    out["required_languages"] = f"SELECT nome_cartella, lingue, code FROM catalogues JOIN {langs} l(label, code) ON lingue = label"
+    out["quote_names"] = "SELECT DISTINCT titolo, url_encode(titolo) AS quoted FROM catalogues WHERE titolo IS NOT NULL"
+    out["transcribe_pages"] = "SELECT DISTINCT filename, CASE WHEN filename <> '' THEN '## 1 - ' || filename END AS text, CASE WHEN filename = '' THEN 'empty transcription' END AS error FROM pages_list WHERE filename IS NOT NULL"
+    out["split_separators"] = f"""SELECT page, CAST(unnest(range(1, len(p) + 1)) AS INTEGER) AS idx, {own_strip('unnest(p)')} AS text FROM (
+SELECT chunk_id AS page, list_filter(string_split(replace(text, chr(10) || chr(10), chr(10) || '---------' || chr(10)), '---------'), lambda x: regexp_matches(x, '[^\\s\\p{{Z}}]')) AS p FROM chunks WHERE text IS NOT NULL) x"""
+    votes = ", ".join(f"len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in words.split())}))) AS v_{lang}" for lang, words in language_guess.WORDS.items())
+    most = "greatest(" + ", ".join(f"v_{lang}" for lang in language_guess.WORDS) + ")"
+    scripts = " ".join(f"WHEN len(regexp_extract_all(text, '{letters}')) * 3 > greatest(latin, 1) THEN '{lang}'" for lang, letters in language_guess.SCRIPTS.items())
+    by_word = " ".join(f"WHEN v_{lang} > 0 AND v_{lang} = {most} THEN '{lang}'" for lang in language_guess.WORDS)
+    out["detect_languages"] = f"""SELECT doc_id, lang, CASE WHEN text IS NULL OR trim(text) = '' THEN NULL {scripts} {by_word} END AS detected FROM (
+SELECT *, {votes} FROM (SELECT doc_id, lang, text, len(regexp_extract_all(text, '[A-Za-zÀ-ɏ]')) AS latin, regexp_extract_all(lower(text), '\\p{{L}}+') AS w FROM documents) x) y"""
     prompt = pages.PROMPT.replace("'", "''").split("%s")
     out["prompt_render"] = f"SELECT DISTINCT filename, '{prompt[0]}' || filename || '{prompt[1]}' AS prompt FROM pages_list WHERE filename IS NOT NULL"
     return out

@@ -11,6 +11,7 @@ from hammerlot.functions import text as T
 from hammerlot.functions import vocabularies as V
 from hammerlot.operators import chunking, curation, pages, quality, reconcile, triples
 from hammerlot.operators.language_guess import detect_language
+from hammerlot.operators.lookups import required_lookup
 from hammerlot.plans.materialize import materialize
 
 #: The catalogue that the curation queries edit.
@@ -35,7 +36,11 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pattern_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return chunking.chunk(table(spark, sf_dir, "chunks"), key="chunk_id", pattern=name).drop("pattern")
+        texts = table(spark, sf_dir, "chunks")
+        if name == "pipe_prefix":
+            # No transcription starts its lots with a bar, so one is put in front.
+            texts = texts.withColumn("text", F.concat(F.lit("| "), F.regexp_replace("text", r"^(?:#+|-)\s*", "")))
+        return chunking.chunk(texts, key="chunk_id", pattern=name).drop("pattern")
 
     return query
 
@@ -45,10 +50,10 @@ def chunk_best_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_catalogue_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lots of whole catalogues: texts of a catalogue are its pages. Sizes instead of texts keep the check light."""
+    """Lots of whole catalogues: texts of a catalogue are its pages. A digest stands for each lot's text."""
     documents = pages.concat_pages(table(spark, sf_dir, "chunks").withColumn("page", F.format_string("%010d-%019d", "idx", "chunk_id")))
     lots = chunking.chunk(documents)
-    return lots.select("catalogue_id", "pattern", "idx", "num", "title", F.length("text").cast("bigint").alias("n_chars"))
+    return lots.select("catalogue_id", "pattern", "idx", "num", "title", F.md5("text").alias("digest"))
 
 
 def gap_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +82,9 @@ def catalogue_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def view_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.view_catalogue(_flagged(spark, sf_dir), EDITED)
+    """The repairs go catalogue by catalogue, so only the one asked for is read."""
+    lots = chunking.merge_sandwiched(_lots(spark, sf_dir).where(F.col("catalogue_id") == EDITED), order=ORDER)
+    return curation.view_catalogue(quality.flag_needs_revision(lots, chunking.inconsistencies(lots)), EDITED)
 
 
 def update_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,8 +93,10 @@ def update_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def save_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An edit with repeated and null positions."""
     lots = _merged(spark, sf_dir)
-    edited = lots.where(F.col("catalogue_id") == EDITED).select((F.col("idx") * 10).alias("pos"), "num", F.concat(F.lit(" "), F.upper("title"), F.lit(" ")).alias("title"), "text")
+    pos = F.when(F.col("idx") % 5 != 0, F.floor(F.col("idx") / 2))
+    edited = lots.where(F.col("catalogue_id") == EDITED).select(pos.alias("pos"), "num", F.concat(F.lit(" "), F.upper("title"), F.lit(" ")).alias("title"), "text")
     return curation.save_catalogue(lots, edited, EDITED)
 
 
@@ -101,6 +110,11 @@ def pipeline_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.merge_sandwiched(split)
 
 
+def pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both repairs leave inconsistent."""
+    return chunking.inconsistencies(materialize(pipeline_lots(spark, sf_dir), "repaired-lots"))
+
+
 def concat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lots = table(spark, sf_dir, "chunks").withColumn("page", F.format_string("%010d-%019d", "idx", "chunk_id"))
     joined = pages.concat_pages(lots)
@@ -164,7 +178,7 @@ def date_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = "data_inizio_asta", "data_fine_asta"
     label = T.date_label(a, b)
     dates = table(spark, sf_dir, "auctions").select("inventario", a, b).distinct()
-    return dates.select("inventario", a, b, F.expr(label).alias("label"), F.expr(T.span_slug(label)).alias("span"), F.expr(T.date_begin(a)).alias("begin_date"), F.expr(T.date_end(a, b)).alias("end_date"))
+    return dates.select("inventario", a, b, F.expr(label).alias("label"), F.expr(T.span_slug(label)).alias("span"), F.expr(T.date_begin(a)).alias("begin_date"), F.expr(T.date_end(a, b)).alias("end_date"), F.coalesce(F.expr(T.is_valid_date(T.date_begin(a))), F.lit(False)).alias("begin_valid"))
 
 
 def lookup_required(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +248,23 @@ def prompt_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.render_prompts(table(spark, sf_dir, "pages_list").where("filename is not null").distinct())
 
 
+def preview_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five rows; the limit is the feature."""
+    return table(spark, sf_dir, "reconciled_agents").select("agent_id", "uri", "label").orderBy("agent_id").limit(5)
+
+
+def missing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed catalogues of which no text came."""
+    listed = table(spark, sf_dir, "catalogues").where("nome_cartella is not null").select(F.explode(F.expr(T.parts("nome_cartella"))).alias("catalogue_id"))
+    return pages.missing_documents(listed, table(spark, sf_dir, "documents"))
+
+
+def required_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of catalogues with a listed language; one that is not listed would stop the query."""
+    rows = table(spark, sf_dir, "catalogues").where(F.col("lingue").isin(list(V.LANGUAGES))).select("nome_cartella", "lingue")
+    return required_lookup(rows, V.table(spark, V.LANGUAGES), "lingue")
+
+
 def quote_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "catalogues").select("titolo").where("titolo is not null").distinct()
     return names.select("titolo", T.url_quoted(F.col("titolo")).alias("quoted"))
@@ -258,11 +289,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{
         f.__name__: f
         for f in (
-            chunk_best_pattern, chunk_catalogue_texts, gap_split, merge_sandwiched, recalc_inconsistencies, flag_needs_revision, catalogue_stats, pipeline_lots,
+            chunk_best_pattern, chunk_catalogue_texts, gap_split, merge_sandwiched, recalc_inconsistencies, flag_needs_revision, catalogue_stats, pipeline_lots, pipeline_report,
             view_catalogue, update_chunk, save_catalogue, resolve_inconsistency, concat_pages, folder_index, select_pages, select_pages_of_folders, pending_pages,
             slugify, name_place, role_extract, multi_value_distinct, column_unique, number_parsers, date_normalise,
             lookup_required, lookup_unmatched, lookup_default, lookup_drop_empty, lookup_one_to_many, catalogue_auction_join,
-            triples_catalogue, triples_auction, triples_all, role_assignments, trig_lines, reconcile_agents, prompt_render, quote_names, detect_languages, transcribe_pages, split_separators,
+            triples_catalogue, triples_auction, triples_all, role_assignments, trig_lines, reconcile_agents, prompt_render, preview_agents, missing_documents, required_languages, quote_names, detect_languages, transcribe_pages, split_separators,
         )
     },
 }

@@ -58,6 +58,7 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, query, sql: str
 
 def main(names: list[str]) -> int:
     import __spark_entry__ as entry
+    from hammerlot.plans.materialize import release
 
     folder = os.environ.get("PARITY_DIR", "/root/testdata/sf0.01")
     spark, con = session(), engine(folder)
@@ -67,6 +68,7 @@ def main(names: list[str]) -> int:
         began = time.time()
         try:
             difference = compare(spark, con, queries[name], sql[name], folder)
+            release()
         except Exception as e:
             difference = f"{type(e).__name__}: {str(e)[:700]}"
         bad += bool(difference)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,8 +11,9 @@ from hammerlot.functions import vocabularies as V
 from hammerlot.operators import curation, pages, reconcile, triples
 from hammerlot.operators.chunking import inconsistencies
 from hammerlot.operators.language_guess import detect_language
+from hammerlot.operators.lookups import required_lookup
 from hammerlot.plans.broadcasting import broadcast_if_small
-from hammerlot.plans.materialize import materialize
+from hammerlot.plans.materialize import bucketed, materialize, release
 from hammerlot.sources import readers, writers
 from hammerlot.streaming.incoming import run_incoming
 
@@ -119,7 +121,7 @@ def test_pages(spark):  # noqa: ANN001, ANN201
     assert done["X_1_02_l.jpg"] == ("X_1_02_L.JPG", None)
     assert done["X_2_01.jpg"] == (None, "ValueError: bad page") and done["none.jpg"] == (None, "empty transcription")
     assert "none.jpg" in pages.render_prompts(listed.where("filename = 'none.jpg'")).first().prompt
-    assert pages.grey([(255, 255, 255), (0, 0, 0), (255, 0, 0)]) == [255, 0, 76]
+    assert pages.grey(np.array([(255, 255, 255), (0, 0, 0), (255, 0, 0)])).tolist() == [255, 0, 76]
 
 
 def test_triples(spark):  # noqa: ANN001, ANN201
@@ -224,3 +226,65 @@ def test_core_parity(spark):  # noqa: ANN001, ANN201
     assert not bad
     for name in sorted(set(QUERIES) - set(ORACLES)):
         assert QUERIES[name](spark, folder).count() >= 0
+
+
+def test_save_keeps_repeated_and_null_positions(spark):  # noqa: ANN001, ANN201
+    lots = spark.createDataFrame([("a", 1, "1", "t", "x"), ("b", 1, "7", "t", "y"), (None, 1, "3", "t", "z")], "catalogue_id string, idx int, num string, title string, text string")
+    edited = spark.createDataFrame([(1, "2", "b", " two "), (1, "1", "a", "one"), (None, "9", None, "nine"), (None, "9", None, "nine")], "pos int, num string, title string, text string")
+    got = curation.save_catalogue(lots, edited, "a").collect()
+    assert sorted((r.idx, r.num, r.text, r.needs_revision) for r in got if r.catalogue_id == "a") == [(1, "1", "one", False), (2, "2", "two", False), (3, "9", "nine", True), (4, "9", "nine", True)]
+    assert sorted(r.text for r in got if r.catalogue_id != "a") == ["y", "z"]
+    assert curation.save_catalogue(lots, edited.limit(0), "a").count() == 2
+
+
+def test_form_rows_are_cut_to_the_shortest(spark):  # noqa: ANN001, ANN201
+    assert [tuple(r) for r in curation.form_rows(spark, ["1", "2"], ["a", "b", "c"], ["x", "y"]).orderBy("pos").collect()] == [(1, "1", "a", "x"), (2, "2", "b", "y")]
+    assert curation.form_rows(spark, [], ["a"], ["x"]).isEmpty()
+
+
+def test_required_lookup_stops(spark):  # noqa: ANN001, ANN201
+    codes = spark.createDataFrame([("ger", "de"), ("abs", None)], "label string, code string")
+    rows = spark.createDataFrame([("ger",), ("abs",)], "lingue string")
+    assert {tuple(r) for r in required_lookup(rows, codes, "lingue").collect()} == {("ger", "de"), ("abs", None)}
+    with pytest.raises(Exception, match="no entry for lingue xxx"):
+        required_lookup(spark.createDataFrame([("xxx",)], "lingue string"), codes, "lingue").collect()
+
+
+def test_missing_documents_and_page_order(spark):  # noqa: ANN001, ANN201
+    listed = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "catalogue_id string")
+    assert [tuple(r) for r in pages.missing_documents(listed, spark.createDataFrame([("a", "x")], "catalogue_id string, text string")).collect()] == [("b", "no text")]
+    names = spark.createDataFrame([(1, "X_f1_b.jpg"), (2, "X_f1_a.jpg"), (3, "none"), (4, None)], "line int, filename string")
+    assert pages.folder_index(names, order="line").first().filenames == ["X_f1_b.jpg", "X_f1_a.jpg"]
+    assert pages.folder_index(names).first().filenames == ["X_f1_a.jpg", "X_f1_b.jpg"]
+
+
+def test_pages_are_run_once(spark, tmp_path):  # noqa: ANN001, ANN201
+    image = b"P6 2 1 255\n" + bytes([255, 0, 0, 10, 20, 30])
+    for name, data in (("p1.jpg", image), ("p2.jpg", image), ("bad.jpg", b"no image"), ("empty.jpg", image)):
+        path = tmp_path / "in" / "cat" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(data)
+
+    def transcriber():  # noqa: ANN202
+        return lambda name, content: "" if name == "empty.jpg" else f"{name} {len(content)}"
+
+    images = readers.read_images(spark, str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    got = {r.filename: r.error for r in pages.run_pages(images, out, transcriber).collect()}
+    assert got["p1.jpg"] is None and got["p2.jpg"] is None and got["empty.jpg"] == "empty transcription" and "ValueError" in got["bad.jpg"]
+    assert (tmp_path / "out/cat/md/p1.md").read_text() == "p1.jpg 13"
+    assert (tmp_path / "out/cat/grey/p1.jpg").read_bytes() == b"P5 2 1 255\n" + bytes([76, 18])
+    assert sorted(p.name for p in (tmp_path / "out/cat/md").iterdir()) == ["p1.md", "p2.md"]
+    done = readers.read_pages(spark, out).select(F.col("catalogue_id").alias("folder"), F.regexp_replace("page", r"\.md$", "").alias("page"))
+    assert {r.filename for r in pages.run_pages(images, out, transcriber, done).collect()} == {"bad.jpg", "empty.jpg"}
+
+
+def test_release_removes_what_was_written(spark):  # noqa: ANN001, ANN201
+    import os
+
+    table = bucketed(spark.range(20).withColumnRenamed("id", "k"), "b", "k", buckets=3)
+    path = table.inputFiles()[0].removeprefix("file:")
+    assert table.count() == 20 and os.path.exists(path)
+    assert "Exchange" not in table.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    release()
+    assert not os.path.exists(path)
