@@ -122,4 +122,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (p1_found, p1_clusters, p1_neighbours, p2_found, p2_mapped, p3_found, p3_spans, p4_found, p4_rendered, p5_found, p5_repaired, p6_found, p6_matches, p7_uses, p7_shares, p8_found, p8_sentences)
 }
 
-ORACLES: dict[str, str] = {}
+# Shared runs of twelve words: a document and an item share one if they share one of the passage's windows of twelve.
+_WORDS = r"regexp_extract_all(replace(replace(replace(replace(strip_accents(lower({})), 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), 'ø', 'o'), '[\p{{L}}\p{{N}}]+')"
+_WINDOWS = "SELECT DISTINCT {key}, array_to_string(w[i:i + 11], ' ') AS gram FROM (SELECT {key}, w, unnest(range(1, len(w) - 10)) AS i FROM (SELECT {key}, {words} AS w FROM {table} WHERE {text} IS NOT NULL) x WHERE len(w) >= 12) y"
+ORACLES: dict[str, str] = {
+    "p6_found": "SELECT DISTINCT doc_id, item_id FROM ({}) d JOIN ({}) e USING (gram)".format(
+        _WINDOWS.format(key="doc_id", words=_WORDS.format("text"), table="documents", text="text"), _WINDOWS.format(key="item_id", words=_WORDS.format("passage"), table="eval_items", text="passage")
+    )
+}
