@@ -23,7 +23,7 @@ GRAMS = (2, 3)
 RARE_SHARE = 0.002
 RARE_LEAST = 6
 #: Pairs below this cosine count as 0 in the averages.
-CANDIDATE = 0.4
+CANDIDATE = 0.5
 #: Clusters merge while their average similarity reaches this.
 LINK = 0.57
 
@@ -109,17 +109,19 @@ def _agree(x: Column, y: Column) -> Column:
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
-    """``(id, block)`` so that any two names of one kind whose given names may agree share a block, of ``nodes(id, kind, first)``.
+    """``(id, block)`` of ``nodes(id, kind, one, two, first)``: any two names of one kind whose given names may agree share
+    a block; where there is no given name, any two with surnames that begin alike or are two edits apart at most.
 
-    A block is a kind and a first letter of given names. A given name a slip away from one with another letter is in that
-    one's block too; the pigeonhole join of all given names finds these completely.
+    A block is a kind and a first letter. A word a slip away from one with another letter is in that one's block too; the
+    pigeonhole join of all these words finds them completely.
     """
-    own = nodes.select("id", "kind", "first", F.coalesce(F.substring("first", 1, 1), F.lit("")).alias("letter"))
-    firsts = own.where(F.length("first") >= 5).select("first").distinct()
-    near = closest(firsts.select(F.col("first").alias("q")), firsts.select(F.col("first").alias("r")))
-    slips = near.select(F.col("q").alias("first"), F.substring("r", 1, 1).alias("letter")).where("letter <> substring(first, 1, 1)").distinct()
-    more = own.drop("letter").join(slips, "first").select("id", "kind", "letter")
-    return own.select("id", "kind", "letter").unionByName(more).select("id", F.concat_ws("|", "kind", "letter").alias("block"))
+    names = F.when(F.col("first").isNotNull(), F.array("first")).otherwise(F.array_compact(F.array("one", F.nullif(F.col("two"), F.lit("")))))
+    own = nodes.select("id", F.concat("kind", F.when(F.col("first").isNull(), "||").otherwise("|")).alias("kind"), F.explode(names).alias("name"))
+    words = own.where(F.length("name") >= 5).select("name").distinct()
+    near = closest(words.select(F.col("name").alias("q")), words.select(F.col("name").alias("r")))
+    slips = near.select(F.col("q").alias("name"), F.substring("r", 1, 1).alias("letter")).where("letter <> substring(name, 1, 1)").distinct()
+    more = own.join(slips, "name").select("id", "kind", "letter")
+    return own.select("id", "kind", F.substring("name", 1, 1).alias("letter")).unionByName(more).select("id", F.concat("kind", "letter").alias("block")).distinct()
 
 
 #: Columns that make two spellings one name.
