@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,51 @@ def test_cosine_pairs_against_all_pairs(spark):  # noqa: ANN001, ANN201
     assert {tuple(p) for ps in best.values() for p in ps} >= two and len(two) < len(expected)
 
 
+@pytest.mark.parametrize("cell_rows", [1, 7, 40, 1000])
+def test_cosine_pairs_in_cells(spark, cell_rows):  # noqa: ANN001, ANN201
+    chance = random.Random(5)
+    names = ["".join(chance.choice("abcd") for _ in range(chance.randint(1, 8))) for _ in range(60)]
+    df = spark.createDataFrame([(i * 31 % 60 - 9, n) for i, n in enumerate(names)], "id bigint, n string")
+    nodes = df.select("id", F.when(F.col("id") != 3, variants.ngrams(F.col("n"), 2)).alias("grams"))
+    blocks = df.select("id", F.explode(F.array(F.lit("x"), F.when(F.col("id") % 2 == 0, "y").otherwise("z"))).alias("block"))
+    whole = {(r.a, r.b): r.cosine for r in variants.cosine_pairs(nodes, blocks, 0.3).collect()}
+    cut = variants.cosine_pairs(nodes, blocks, 0.3, cell_rows=cell_rows).collect()
+    assert len(cut) == len(whole) > 100 and {(r.a, r.b): r.cosine for r in cut} == whole
+    assert all(a < b and 3 not in (a, b) for a, b in whole)
+    assert variants.cosine_pairs(nodes.limit(0), blocks.limit(0), 0.3, cell_rows=cell_rows).isEmpty()
+
+
+def test_cell_hands_on_pairs_in_batches(monkeypatch):  # noqa: ANN001, ANN201
+    monkeypatch.setattr(variants, "CELL_PAIRS", 4)
+    n, one = 12, [1.0]
+    cell = pa.table({"i": [0] * n, "j": [0] * n, "part": [0] * n, "id": list(range(n, 0, -1)), "g": [[k % 2] for k in range(n)], "w": [one] * n})
+    found = list(variants._cell(0.5)(iter(cell.to_batches(max_chunksize=5))))
+    got = [(r["a"], r["b"], r["cosine"]) for x in found for r in x.to_pylist()]
+    assert sorted(got) == [(a, b, 1.0) for a in range(1, n + 1) for b in range(a + 2, n + 1, 2)]
+    assert len(found) > 1 and all(x.num_rows < 4 + n for x in found)
+
+
+def test_cosine_pairs_send_names_not_pairs(spark):  # noqa: ANN001, ANN201
+    """What is shuffled grows with the grams of the names, not with the pairs of names that share some."""
+    chance = random.Random(6)
+    names = ["".join(chance.choice("abcdefgh") for _ in range(9)) for _ in range(500)]
+    nodes = spark.createDataFrame(list(enumerate(names)), "id bigint, n string").select("id", variants.ngrams(F.col("n"), 2).alias("grams")).cache()
+    blocks = nodes.select("id", F.lit("b").alias("block"))
+    grams = nodes.select(F.explode("grams")).count()
+    context = spark.sparkContext._jsc.sc()
+
+    def stages() -> dict[int, int]:
+        context.listenerBus().waitUntilEmpty(30_000)
+        seen = context.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return {seen.apply(i).stageId(): seen.apply(i).shuffleWriteRecords() for i in range(seen.size())}
+
+    before = max(stages())
+    found = variants.cosine_pairs(nodes, blocks, 0.5).collect()
+    sent = sum(n for stage, n in stages().items() if stage > before)
+    assert len(found) < grams
+    assert 0 < sent < 8 * grams
+
+
 @pytest.mark.parametrize("key_rows", [1, 3, 1000])
 def test_salted_pairs_meet_once(spark, key_rows):  # noqa: ANN001, ANN201
     rows = [(i, "hot" if i < 9 else f"k{i % 3}") for i in range(15)] + [(3, "hot"), (99, None)]
