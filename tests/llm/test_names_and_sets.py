@@ -235,6 +235,59 @@ def test_average_linkage_against_plain(spark):  # noqa: ANN001, ANN201
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, clusters))
 
 
+def joins(df):  # noqa: ANN001, ANN201
+    return sum(line.lstrip(" :+-|").startswith("Join ") for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+
+@pytest.mark.parametrize("task_edges", [0, 3, 25, 60, 1000])
+def test_average_linkage_in_rounds_and_in_one_task(spark, task_edges):  # noqa: ANN001, ANN201
+    chance = random.Random(10)
+    ids = [chance.randrange(-(1 << 62), 1 << 62) for _ in range(16)]
+    sims = {(min(x, y), max(x, y)): chance.choice([-0.5, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) for i, x in enumerate(ids) for y in ids[:i] if chance.random() < 0.7}
+    size, cluster, left = dict.fromkeys(ids, 1), {x: x for x in ids}, dict(sims)
+    while left:
+        (a, b), s = max(left.items(), key=lambda e: (round(e[1] / size[e[0][0]] / size[e[0][1]], 9), -e[0][0], -e[0][1]))
+        if s / size[a] / size[b] < 0.4:
+            break
+        size[a] += size.pop(b)
+        cluster = {x: a if c == b else c for x, c in cluster.items()}
+        summed: Counter = Counter()
+        for pair, t in left.items():
+            x, y = sorted(a if c == b else c for c in pair)
+            if x != y:
+                summed[x, y] += t
+        left = summed
+    nodes = spark.createDataFrame([(x,) for x in [*ids, 7]], "id bigint")
+    edges = spark.createDataFrame([(a, b, s) for (a, b), s in sims.items()], "a bigint, b bigint, s double")
+    got = {r.id: r.cluster for r in variants.average_linkage(nodes, edges, 0.4, task_edges).collect()}
+    assert got == cluster | {7: 7} and 2 < len(set(got.values())) < 14
+    assert {(r.id, r.cluster) for r in variants.average_linkage(nodes, edges.limit(0), 0.4, task_edges).collect()} == {(x, x) for x in [*ids, 7]}
+
+
+def test_plans_do_not_grow_with_the_rounds(spark):  # noqa: ANN001, ANN201
+    """The driver's memory holds its plans: names that join one after another must not cost some for each."""
+    n = 12
+    edges = spark.createDataFrame([(a, b, 1 - 0.01 * b) for b in range(n) for a in range(b)], "a bigint, b bigint, s double")
+    seen = spark._jsparkSession.sharedState().statusStore().executionsCount
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before = seen()
+    clusters = variants.average_linkage(spark.range(n), edges)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert seen() - before < n / 2
+    assert joins(clusters) <= 2
+    assert {r.cluster for r in clusters.collect()} == {0}
+    in_rounds = variants.average_linkage(spark.range(n), edges, task_edges=0)
+    assert joins(in_rounds) <= 2
+    assert {r.cluster for r in in_rounds.collect()} == {0}
+
+
+def test_nicknames_are_planned_once(spark):  # noqa: ANN001, ANN201
+    rows = [(e, "person", ["x" + e], [g]) for g, entities in {"mathurin": "abcdefg", "thurin": "abchi"}.items() for e in entities]
+    nicks = name_parts.nicknames(spark.createDataFrame(rows, "entity string, kind string, surnames array<string>, given array<string>"), [])
+    assert joins(nicks) <= 2
+    assert [tuple(r) for r in nicks.collect()] == [("thurin", "mathurin")]
+
+
 def test_spelling_clusters(spark):  # noqa: ANN001, ANN201
     groups = [
         ["Zenobiettinwick, F.", "Fritz Zenobiettinwick", "FRIEDRICH ZENOBIETTINWICK", "Friedrich Zenoibettinwick", "Zenobiettinwick Friedrich"],
